@@ -25,8 +25,17 @@ CONFIG = Config(
 )
 
 
-def _table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{base}/{name}.parquet")
+class Tables:
+    """The Parquet tables under one folder, each opened once."""
+
+    def __init__(self, spark: SparkSession, base: str) -> None:
+        self._spark, self._base = spark, base
+        self._open: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._open:
+            self._open[name] = self._spark.read.parquet(f"{self._base}/{name}.parquet")
+        return self._open[name]
 
 
 def _line_id() -> Column:
@@ -34,9 +43,9 @@ def _line_id() -> Column:
     return F.concat_ws("-", *parts, F.col("l_quantity").cast("int"))
 
 
-def order_items(spark: SparkSession, base: str) -> DataFrame:
+def order_items(tables: Tables) -> DataFrame:
     lines, orders, parts, customers = (
-        _table(spark, base, t) for t in ("lineitem", "orders", "part", "customer")
+        tables[t] for t in ("lineitem", "orders", "part", "customer")
     )
     rows = (
         lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
@@ -44,9 +53,6 @@ def order_items(spark: SparkSession, base: str) -> DataFrame:
         .join(customers, orders["o_custkey"] == customers["c_custkey"])
     )
     order, part = F.col("o_orderkey"), F.col("p_partkey") % 10
-    # ISO-8601 text, every other order with milliseconds.
-    created = F.when(order % 2 == 0, F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
-    created = created.otherwise(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
     category = (
         F.when(part == 0, F.concat("p_type", F.lit(" https://x.y/1")))
         .when(part == 1, F.concat("p_type", F.lit("`1")))
@@ -61,7 +67,7 @@ def order_items(spark: SparkSession, base: str) -> DataFrame:
     return rows.select(
         F.when(order % 100 == 7, test).otherwise(F.lit("Store")).alias("app_name"),
         F.concat(F.lit("LOC-"), "c_nationkey").alias("restaurant_id"),
-        created.alias("creation_time_utc"),
+        F.col("o_orderdate").cast("timestamp").alias("creation_time_utc"),
         order.cast("string").alias("order_id"),
         F.col("o_custkey").cast("string").alias("user_id"),
         F.lit(None).cast("string").alias("printed_card_number"),
@@ -77,9 +83,9 @@ def order_items(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def order_item_options(spark: SparkSession, base: str) -> DataFrame:
+def order_item_options(tables: Tables) -> DataFrame:
     """Two possible options per line, as one pass: an array of rows is built and unfolded."""
-    lines, parts = _table(spark, base, "lineitem"), _table(spark, base, "part")
+    lines, parts = tables["lineitem"], tables["part"]
     rows = lines.join(parts, lines["l_partkey"] == parts["p_partkey"])
 
     def option(line: Column, group: Column, name: Column, price: Column, quantity: Column) -> Column:
@@ -118,13 +124,14 @@ def order_item_options(spark: SparkSession, base: str) -> DataFrame:
         for wanted, make in ((by_tax, tax_option), (by_size, size_option))
         for extra, line_id in ((F.lit(True), line), (copied, line), (lost, orphan))
     ]
-    return rows.select(F.inline(F.array_compact(F.array(*candidates))))
+    # An option that does not apply is a null entry and unfolds to a row of nulls.
+    return rows.select(F.inline(F.array(*candidates))).where(F.col("order_id").isNotNull())
 
 
-def date_dim(spark: SparkSession, base: str) -> DataFrame:
+def date_dim(tables: Tables) -> DataFrame:
     day = F.col("day")
     days = (
-        _table(spark, base, "orders")
+        tables["orders"]
         .select(F.to_date("o_orderdate").alias("day"))
         .where(day.between(F.lit(date(1997, 1, 1)), F.lit(date(1997, 12, 31))))
         .distinct()
@@ -144,7 +151,20 @@ def date_dim(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def with_iso_text(items: DataFrame) -> DataFrame:
+    """Creation times as ISO-8601 text, as a CSV source has them; half of them with milliseconds."""
+    created = F.col("creation_time_utc")
+    return items.withColumn(
+        "creation_time_utc",
+        F.when(
+            F.col("order_id").cast("bigint") % 2 == 0,
+            F.date_format(created, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"),
+        ).otherwise(F.date_format(created, "yyyy-MM-dd'T'HH:mm:ss'Z'")),
+    )
+
+
 def silver(spark: SparkSession, base: str, cfg: Config = CONFIG) -> DataFrame:
+    tables = Tables(spark, base)
     return orders_enriched(
-        order_items(spark, base), order_item_options(spark, base), date_dim(spark, base), cfg
+        order_items(tables), order_item_options(tables), date_dim(tables), cfg
     )

@@ -42,9 +42,19 @@ class Frames:
 
     def __init__(self, spark: SparkSession, base: str) -> None:
         self.spark = spark
-        self.items = retail.order_items(spark, base)
-        self.options = retail.order_item_options(spark, base)
-        self.date_dim = retail.date_dim(spark, base)
+        self.tables = retail.Tables(spark, base)
+
+    @cached_property
+    def items(self) -> DataFrame:
+        return retail.order_items(self.tables)
+
+    @cached_property
+    def options(self) -> DataFrame:
+        return retail.order_item_options(self.tables)
+
+    @cached_property
+    def date_dim(self) -> DataFrame:
+        return retail.date_dim(self.tables)
 
     @cached_property
     def cleaned(self) -> DataFrame:
@@ -161,7 +171,8 @@ def _(f):
 @_register("parse_iso_ts")
 def _(f):
     created = dates.parse_iso_timestamp(F.col("creation_time_utc"))
-    return f.items.select(*_KEY, F.date_format(created, "yyyy-MM-dd HH:mm:ss").alias("created"))
+    items = retail.with_iso_text(f.items)
+    return items.select(*_KEY, F.date_format(created, "yyyy-MM-dd HH:mm:ss").alias("created"))
 
 
 @_register("to_order_date")

@@ -79,20 +79,26 @@ def dq_cardinality(df: DataFrame, columns: Sequence[str] = KEY_COLUMNS) -> DataF
 
 def dq_numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, deviation, extremes and exact quartiles per column."""
+    moments = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            mean(c, 4).alias("mean"),
+            F.round(F.stddev_samp(F.col(c).cast("double")), 4).alias("std"),
+        )
+        for c in columns
+    ]
     measures = [
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("decimal(20,4)").alias("value"))
         for c in columns
     ]
-    # Distinct values with their counts carry everything below and are far fewer than the rows.
-    long = df.select(F.inline(F.array(*measures))).where(F.col("value").isNotNull())
-    moments = long.groupBy("column_name").agg(
-        mean("value", 4).alias("mean"),
-        F.round(F.stddev_samp(F.col("value").cast("double")), 4).alias("std"),
-    )
     spread = quantiles(
-        long, "value", {"q25": 25, "q50": 50, "q75": 75}, ["column_name"], extremes=True
+        df.select(F.inline(F.array(*measures))),
+        "value",
+        {"q25": 25, "q50": 50, "q75": 75},
+        ["column_name"],
+        extremes=True,
     )
-    return spread.join(moments, "column_name")
+    return spread.join(df.agg(F.array(*moments).alias("m")).select(F.inline("m")), "column_name")
 
 
 def dq_negative_values(items: DataFrame, options: DataFrame) -> DataFrame:

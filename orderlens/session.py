@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +47,12 @@ def reliable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder for intermediate tables, next to the checkpoints."""
+    _ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{uuid4()}"
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast if a count proves it small; else leave the join to AQE.
 

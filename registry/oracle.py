@@ -428,7 +428,37 @@ CARDINAL = [
     "is_loyalty",
 ]
 
+GOLD_TABLES = {
+    "customer_clv_daily": "clv",
+    "customer_rfm_segments": "rfm",
+    "customer_churn_indicators": "churn",
+    "loyalty_comparison": "loyalty",
+    "location_performance": "locations",
+    "sales_trends": "trends",
+    "discount_effectiveness": "discounts",
+}
+
 FINALS: dict[str, str] = {
+    # Sources and sinks
+    "src_csv": """
+SELECT order_id, lineitem_id, option_group_name, option_name,
+       CAST(option_price AS VARCHAR) AS option_price,
+       CAST(option_quantity AS VARCHAR) AS option_quantity FROM options""",
+    "src_csv_typed": "SELECT * REPLACE (CAST(item_price AS DOUBLE) AS item_price) FROM items",
+    "src_parquet_latest": """
+SELECT * REPLACE (CAST(option_price AS DOUBLE) AS option_price) FROM options""",
+    "sink_silver": f"""
+SELECT {KEY}, year, month, order_date, {dbl('gross_revenue')} FROM silver""",
+    "observe_counts": f"""
+SELECT count(*) AS rows, {dbl('min(gross_revenue)', 'min_revenue')},
+       {dbl('max(gross_revenue)', 'max_revenue')}, {dbl('sum(gross_revenue)', 'total_revenue')},
+       count(*) FILTER (WHERE is_bulk_order_candidate) AS bulk_rows,
+       count(*) FILTER (WHERE option_row_count = 0) AS rows_without_options FROM silver""",
+    "sink_gold": f"SELECT {CHURN_COLUMNS} FROM churn",
+    "run_pipeline": " UNION ALL ".join(
+        f"SELECT '{table}' AS gold_table, count(*) AS row_count FROM {name}"
+        for table, name in GOLD_TABLES.items()
+    ),
     # Projection, cleaning and scalar functions
     "norm_columns": "SELECT * FROM date_dim",
     "conform_schema": """

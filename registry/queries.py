@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from orderlens import retail
 from orderlens.functions import dates, numbers, text
 from orderlens.operators import ordering, tables
-from orderlens.plans import customers, promotions, quality, sales
+from orderlens.plans import customers, pipeline, promotions, quality, sales
 from orderlens.plans import silver as silver_plan
 from orderlens.plans.serve import churn as churn_page
 from orderlens.plans.serve import clv as clv_page
@@ -25,7 +25,8 @@ from orderlens.plans.serve import promo as promo_page
 from orderlens.plans.serve import rfm as rfm_page
 from orderlens.plans.serve import sales as sales_page
 from orderlens.schemas import GOLD, ORDER_ITEMS
-from orderlens.session import reliable
+from orderlens.session import reliable, scratch_folder
+from orderlens.sources import files
 
 CFG = retail.CONFIG
 YEARS = list(range(1995, 2002))
@@ -72,17 +73,22 @@ class Frames:
     def silver(self) -> DataFrame:
         return silver_plan.orders_enriched(self.items, self.options, self.date_dim, CFG)
 
+    @cached_property
+    def orders(self) -> DataFrame:
+        """Order facts, computed once for all tables that only need order grain."""
+        return reliable(customers.order_facts(self.silver))
+
     @cached_property
     def clv(self) -> DataFrame:
-        return customers.customer_clv_daily(self.silver, CFG)
+        return customers.customer_clv_daily(self.orders, CFG)
 
     @cached_property
     def rfm(self) -> DataFrame:
-        return customers.customer_rfm_segments(self.silver, CFG)
+        return customers.customer_rfm_segments(self.orders, CFG)
 
     @cached_property
     def churn(self) -> DataFrame:
-        return customers.customer_churn_indicators(self.silver, CFG)
+        return customers.customer_churn_indicators(self.orders, CFG)
 
     @cached_property
     def trends(self) -> DataFrame:
@@ -90,11 +96,11 @@ class Frames:
 
     @cached_property
     def loyalty(self) -> DataFrame:
-        return customers.loyalty_comparison(self.silver, CFG)
+        return customers.loyalty_comparison(self.orders, CFG)
 
     @cached_property
     def locations(self) -> DataFrame:
-        return sales.location_performance(self.silver, CFG)
+        return sales.location_performance(self.orders, CFG)
 
     @cached_property
     def discounts(self) -> DataFrame:
@@ -143,6 +149,79 @@ def _register(name: str):
     return add
 
 
+# Sources and sinks: written to and read back from a new folder
+
+
+def _csv_folder(f: Frames) -> str:
+    folder = scratch_folder(f.spark)
+    sources = {
+        "order_items": retail.with_iso_text(f.items),
+        "order_item_options": f.options,
+        "date_dim": f.date_dim,
+    }
+    for name, df in sources.items():
+        writer = df.write.option("header", True).option("ignoreLeadingWhiteSpace", False)
+        writer.csv(f"{folder}/{name}.csv")
+    return folder
+
+
+@_register("src_csv")
+def _(f):
+    return files.read_csv(f.spark, _csv_folder(f), "order_item_options")
+
+
+@_register("src_csv_typed")
+def _(f):
+    return files.read_typed_csv(f.spark, _csv_folder(f), "order_items")
+
+
+@_register("src_parquet_latest")
+def _(f):
+    """Two Bronze days with different columns; only the newer one is read."""
+    folder = scratch_folder(f.spark)
+    files.write_bronze(f.options.drop("option_quantity"), folder, "options", date(2024, 1, 9))
+    files.write_bronze(f.options, folder, "options", date(2024, 1, 10))
+    return files.read_latest_bronze(f.spark, folder, "options")
+
+
+@_register("sink_silver")
+def _(f):
+    folder = scratch_folder(f.spark)
+    files.write_silver(f.silver, folder)
+    stored = files.read_silver(f.spark, folder)
+    return stored.select(*_KEY, "year", "month", "order_date", "gross_revenue")
+
+
+@_register("observe_counts")
+def _(f):
+    seen = files.write_silver(f.silver, scratch_folder(f.spark))
+    names = ["rows", "min_revenue", "max_revenue", "total_revenue", "bulk_rows", "rows_without_options"]
+    return f.spark.createDataFrame([tuple(seen[n] for n in names)], names)
+
+
+@_register("sink_gold")
+def _(f):
+    folder = scratch_folder(f.spark)
+    files.write_gold(f.churn, folder, "customer_churn_indicators")
+    return files.read_gold(f.spark, folder, "customer_churn_indicators")
+
+
+@_register("run_pipeline")
+def _(f):
+    """CSV to Bronze to Silver to Gold; the rows written to each Gold table."""
+    folder = scratch_folder(f.spark)
+    done = pipeline.run(
+        f.spark,
+        f"{folder}/bronze",
+        f"{folder}/silver",
+        f"{folder}/gold",
+        CFG,
+        "csv",
+        csv_base=_csv_folder(f),
+    )
+    return f.spark.createDataFrame(list(done["gold"].items()), ["gold_table", "row_count"])
+
+
 # Projection, cleaning and scalar functions
 
 

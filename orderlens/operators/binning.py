@@ -33,10 +33,12 @@ def histogram(
         F.array(*[F.lit(w).cast("decimal(20,4)") for w in _widths(smallest)]),
         lambda width: width * max_bins >= span,
     )
-    width = folded.agg(F.try_element_at(fitting, F.lit(1)).alias("width")).scalar()
-    start = (F.floor(F.col("_value") / width) * width).cast("decimal(20,4)")
-    return folded.groupBy(by, start.alias("bin_start"), width.alias("bin_width")).agg(
-        F.sum("_rows").alias("customers")
+    widest = folded.agg(F.try_element_at(fitting, F.lit(1)).alias("width")).scalar()
+    start = F.floor(F.col("_value") / F.col("bin_width")) * F.col("bin_width")
+    return (
+        folded.withColumn("bin_width", widest)
+        .groupBy(by, start.cast("decimal(20,4)").alias("bin_start"), "bin_width")
+        .agg(F.sum("_rows").alias("customers"))
     )
 
 

@@ -84,9 +84,13 @@ def percent_rank_cuts(
     ``value > cut``.
     """
     folded = df.groupBy(value).agg(F.sum(weight).alias("_weight"))
-    total = df.agg(F.sum(weight)).scalar()
+    total = F.col("_total")
     rank = F.when(total > 1, F.col("rows_before") / (total - 1)).otherwise(F.lit(0.0))
-    ranked = rows_before(folded, [F.col(value)], "_weight").withColumn("_rank", rank)
+    ranked = (
+        rows_before(folded, [F.col(value)], "_weight")
+        .withColumn("_total", df.agg(F.sum(weight)).scalar())
+        .withColumn("_rank", rank)
+    )
     cuts = [
         F.max(F.when(F.col("_rank") <= share, F.col(value))).alias(n)
         for n, share in shares.items()
@@ -106,16 +110,20 @@ def ntiles(df: DataFrame, key: str, columns: Sequence[str], tiles: int) -> DataF
         for c in columns
     ]
     long = df.select(F.explode(F.array(*measures)).alias("m"), key).select("m.*", key)
-    # Measures follow each other in the sort, every one with as many rows as `df`.
-    ordered = rows_before(long, ["measure", "value", key])
-    total = df.agg(F.count(F.lit(1))).scalar()
-    at = F.col("rows_before") % total
+    # Measures follow each other in the sort, every one with as many rows as `df`. A scalar
+    # subquery is added as a column once; naming it in every expression would plan it each time.
+    total = F.col("_total")
+    ordered = (
+        rows_before(long, ["measure", "value", key])
+        .withColumn("_total", df.agg(F.count(F.lit(1))).scalar())
+        .withColumn("_at", F.col("rows_before") % total)
+    )
     firsts = []
     for column in columns:
         for tile in range(1, tiles):
             # The first `total % tiles` tiles hold one row more than the others.
             start = _div(total, tiles) * tile + F.least(F.lit(tile), total % tiles)
-            here = (F.col("measure") == column) & (at == start)
+            here = (F.col("measure") == column) & (F.col("_at") == start)
             firsts.append(
                 F.max(F.when(here, F.struct("value", key))).alias(f"{column}_{tile}")
             )
@@ -124,11 +132,11 @@ def ntiles(df: DataFrame, key: str, columns: Sequence[str], tiles: int) -> DataF
     for column in columns:
         mine = F.struct(F.col(column).cast("decimal(28,4)").alias("value"), F.col(key))
         reached = [
-            F.coalesce((mine >= found[f"{column}_{tile}"]).cast("int"), F.lit(0))
+            F.coalesce((mine >= F.col(f"_firsts.{column}_{tile}")).cast("int"), F.lit(0))
             for tile in range(1, tiles)
         ]
         placed[f"{column}_tile"] = reduce(lambda a, b: a + b, reached, F.lit(1))
-    return df.withColumns(placed)
+    return df.withColumn("_firsts", found).withColumns(placed).drop("_firsts")
 
 
 def _div(whole: Column, by: int) -> Column:

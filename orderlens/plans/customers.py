@@ -76,11 +76,11 @@ def customer_clv_daily(orders: DataFrame, cfg: Config) -> DataFrame:
         {"high": cfg.clv_high_share, "medium": cfg.clv_medium_share},
     )
     tier = (
-        F.when(F.col("final_total") > cuts["high"], "High")
-        .when(F.col("final_total") > cuts["medium"], "Medium")
+        F.when(F.col("final_total") > F.col("_cuts.high"), "High")
+        .when(F.col("final_total") > F.col("_cuts.medium"), "Medium")
         .otherwise("Low")
     )
-    return snapshots.withColumns(
+    return snapshots.withColumn("_cuts", cuts).withColumns(
         {
             "snapshot_date": F.col("order_date"),
             "avg_order_value": safe_ratio(
@@ -94,15 +94,16 @@ def customer_clv_daily(orders: DataFrame, cfg: Config) -> DataFrame:
 
 def customer_recency(orders: DataFrame, cfg: Config) -> DataFrame:
     """Recency, frequency and spend of the customers active in the look-back window."""
-    today = reference_day(orders, cfg.reference_day)
+    first_day = F.date_sub(F.col("_today"), cfg.rfm_months * 30)
     # A comparison on the plain column reaches the scan; datediff() on it would not.
-    recent = orders.where(F.col("order_date") >= F.date_sub(today, cfg.rfm_months * 30))
+    recent = orders.withColumn("_today", reference_day(orders, cfg.reference_day)).where(
+        F.col("order_date") >= first_day
+    )
     if {"year", "month"} <= set(orders.columns):
         # Silver is laid out by year and month: skip the directories before the window.
-        month = F.make_date("year", "month", F.lit(1))
-        recent = recent.where(month >= F.trunc(F.date_sub(today, cfg.rfm_months * 30), "month"))
+        recent = recent.where(F.make_date("year", "month", F.lit(1)) >= F.trunc(first_day, "month"))
     return recent.groupBy("user_id").agg(
-        F.date_diff(today, F.max("order_date")).alias("recency_days"),
+        F.date_diff(F.max("_today"), F.max("order_date")).alias("recency_days"),
         F.count_distinct("order_id").alias("frequency"),
         money(F.sum("gross_revenue")).alias("monetary"),
     )
@@ -136,20 +137,21 @@ def customer_rfm_segments(orders: DataFrame, cfg: Config) -> DataFrame:
 
 def customer_churn_indicators(orders: DataFrame, cfg: Config) -> DataFrame:
     """Activity profile per customer, all windows in one aggregation."""
-    today = reference_day(orders, cfg.reference_day)
-    age = F.date_diff(today, F.col("order_date"))
+    age = F.date_diff(F.col("_today"), F.col("order_date"))
     span = cfg.spend_window_days
-    per_customer = orders.groupBy("user_id").agg(
+    recent = F.when(age.between(0, span), F.col("gross_revenue"))
+    before = F.when(age.between(span + 1, 2 * span), F.col("gross_revenue"))
+    dated = orders.withColumn("_today", reference_day(orders, cfg.reference_day))
+    per_customer = dated.groupBy("user_id").agg(
+        F.max("_today").alias("_today"),
         F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("last_order_date"),
         F.count_distinct("order_id").alias("total_orders"),
         money(F.sum("gross_revenue")).alias("total_spend"),
-        money(F.sum(F.when(age.between(0, span), F.col("gross_revenue")))).alias("spend_last_90"),
-        money(
-            F.sum(F.when(age.between(span + 1, 2 * span), F.col("gross_revenue")))
-        ).alias("spend_prior_90"),
+        money(F.sum(recent)).alias("spend_last_90"),
+        money(F.sum(before)).alias("spend_prior_90"),
     )
-    idle = F.date_diff(today, F.col("last_order_date"))
+    idle = F.date_diff(F.col("_today"), F.col("last_order_date"))
     active_days = F.date_diff("last_order_date", "first_order_date")
     prior = F.when(F.col("spend_prior_90") > 0, F.col("spend_prior_90"))
     return per_customer.withColumns(

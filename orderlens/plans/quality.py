@@ -130,13 +130,14 @@ def dq_date_range(items: DataFrame, date_dim: DataFrame) -> DataFrame:
         F.to_date(F.min(created)).alias("first_order_day"),
         F.to_date(F.max(created)).alias("last_order_day"),
         F.floor(seconds / 86_400).cast("bigint").alias("order_span_days"),
-    ).withColumns(
-        {
-            "calendar_min_key": calendar["min_key"],
-            "calendar_max_key": calendar["max_key"],
-            "calendar_first_day": calendar["first_day"],
-            "calendar_last_day": calendar["last_day"],
-        }
+    ).withColumn("calendar", calendar).select(
+        "first_order_day",
+        "last_order_day",
+        "order_span_days",
+        F.col("calendar.min_key").alias("calendar_min_key"),
+        F.col("calendar.max_key").alias("calendar_max_key"),
+        F.col("calendar.first_day").alias("calendar_first_day"),
+        F.col("calendar.last_day").alias("calendar_last_day"),
     )
 
 
@@ -227,10 +228,10 @@ def dq_summary(items: DataFrame, options: DataFrame, date_dim: DataFrame) -> Dat
         F.max(created).alias("last_order_day"),
         F.count_if("is_loyalty").alias("loyalty_rows"),
         F.count_if(~F.col("is_loyalty")).alias("non_member_rows"),
-    ).withColumns(
+    ).withColumn("option_figures", option_figures).withColumns(
         {
-            "option_rows": option_figures["n"],
+            "option_rows": F.col("option_figures.n"),
             "date_dim_rows": calendar_rows,
-            "negative_option_rows": option_figures["negative"],
+            "negative_option_rows": F.col("option_figures.negative"),
         }
-    )
+    ).drop("option_figures")

@@ -42,17 +42,22 @@ def serve_home_kpis(
         best=F.max(F.when(F.col("revenue_rank") == 1, F.col("total_revenue"))),
     )
     sales = _one(trends, orders=F.sum("order_count"))
-    return clv.sparkSession.range(1).select(
-        customers["n"].alias("total_customers"),
-        customers["total"].alias("total_revenue"),
-        customers["average"].alias("avg_clv"),
-        risk["n"].alias("at_risk_customers"),
-        risk["pct"].alias("at_risk_pct"),
-        vips["n"].alias("vip_customers"),
-        zero_if_null(members["value"]).alias("loyalty_avg_clv"),
-        places["best"].alias("top_location_revenue"),
-        zero_if_null(sales["orders"]).alias("total_orders"),
-        places["n"].alias("location_count"),
+    figures = {
+        "customers": customers, "risk": risk, "vips": vips, "members": members,
+        "places": places, "sales": sales,
+    }
+    scalars = [c.alias(n) for n, c in figures.items()]
+    return clv.sparkSession.range(1).select(*scalars).select(
+        F.col("customers.n").alias("total_customers"),
+        F.col("customers.total").alias("total_revenue"),
+        F.col("customers.average").alias("avg_clv"),
+        F.col("risk.n").alias("at_risk_customers"),
+        F.col("risk.pct").alias("at_risk_pct"),
+        F.col("vips.n").alias("vip_customers"),
+        zero_if_null(F.col("members.value")).alias("loyalty_avg_clv"),
+        F.col("places.best").alias("top_location_revenue"),
+        zero_if_null(F.col("sales.orders")).alias("total_orders"),
+        F.col("places.n").alias("location_count"),
     )
 
 

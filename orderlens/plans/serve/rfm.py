@@ -100,8 +100,14 @@ def _within_p95(rfm: DataFrame) -> DataFrame:
             ]
         ).alias("cap")
     ).scalar()
-    shown = (F.col("frequency") <= cap["frequency"]) & (F.col("monetary") <= cap["monetary"])
-    return rfm.withColumn("shown", F.coalesce(shown, F.lit(False)))
+    shown = (F.col("frequency") <= F.col("_cap.frequency")) & (
+        F.col("monetary") <= F.col("_cap.monetary")
+    )
+    return (
+        rfm.withColumn("_cap", cap)
+        .withColumn("shown", F.coalesce(shown, F.lit(False)))
+        .drop("_cap")
+    )
 
 
 def serve_rfm_p95_points(rfm: DataFrame) -> DataFrame:

@@ -75,20 +75,18 @@ def dense_ranks(df: DataFrame, value: str, descending: bool = True, name: str =
     return df.join(ranked, df[value].eqNullSafe(ranked["_value"])).drop("_value")
 
 
-def percent_rank_cuts(
-    df: DataFrame, value: str, weight: str, shares: dict[str, float]
-) -> Column:
+def percent_rank_cuts(df: DataFrame, value: str, shares: dict[str, float]) -> Column:
     """Cut values by percent rank, as one scalar struct with a field per entry of ``shares``.
 
-    ``percent_rank() > share`` over the rows, each counted ``weight`` times, holds exactly where
-    ``value > cut``.
+    ``percent_rank() > share`` over all rows of ``df`` holds exactly where ``value > cut``, so the
+    rows themselves need no rank and no sort.
     """
-    folded = df.groupBy(value).agg(F.sum(weight).alias("_weight"))
+    folded = df.groupBy(value).agg(F.count(F.lit(1)).alias("_weight"))
     total = F.col("_total")
     rank = F.when(total > 1, F.col("rows_before") / (total - 1)).otherwise(F.lit(0.0))
     ranked = (
         rows_before(folded, [F.col(value)], "_weight")
-        .withColumn("_total", df.agg(F.sum(weight)).scalar())
+        .withColumn("_total", df.agg(F.count(F.lit(1))).scalar())
         .withColumn("_rank", rank)
     )
     cuts = [

@@ -66,14 +66,11 @@ def customer_clv_daily(orders: DataFrame, cfg: Config) -> DataFrame:
     snapshots = reliable(
         totals.withColumn("final_total", F.max("total_revenue_to_date").over(whole))
     )
-    weights = snapshots.groupBy("user_id", "final_total").agg(F.count(F.lit(1)).alias("weight"))
+    population = snapshots.select("user_id", "final_total")
     if cfg.clv_population == "customers":
-        weights = weights.withColumn("weight", F.lit(1).cast("bigint"))
+        population = population.distinct()
     cuts = percent_rank_cuts(
-        weights,
-        "final_total",
-        "weight",
-        {"high": cfg.clv_high_share, "medium": cfg.clv_medium_share},
+        population, "final_total", {"high": cfg.clv_high_share, "medium": cfg.clv_medium_share}
     )
     tier = (
         F.when(F.col("final_total") > F.col("_cuts.high"), "High")

@@ -490,7 +490,7 @@ def _(f):
 
 @_register("agg_location")
 def _(f):
-    return sales.location_totals(f.silver)
+    return sales.location_totals(customers.order_facts(f.silver))
 
 
 @_register("agg_category_price_stats")

@@ -71,8 +71,7 @@ def test_ntile_of_one_value(many_slices):
 @pytest.mark.parametrize("n", [1, 2, 40, 301])
 def test_percent_rank_cuts(many_slices, n):
     df = frame(many_slices, n, n, values=25)
-    weights = df.groupBy("v").agg(F.count("*").alias("w"))
-    cuts = ordering.percent_rank_cuts(weights, "v", "w", {"high": 0.8, "medium": 0.2})
+    cuts = ordering.percent_rank_cuts(df, "v", {"high": 0.8, "medium": 0.2})
     rank = F.percent_rank().over(Window.orderBy("v"))
     ranked = df.withColumn("pr", rank).withColumns(
         {"above_high": F.col("v") > cuts["high"], "above_medium": F.col("v") > cuts["medium"]}

@@ -44,40 +44,53 @@ def _line_id() -> Column:
 
 
 def order_items(tables: Tables) -> DataFrame:
-    lines, orders, parts, customers = (
-        tables[t] for t in ("lineitem", "orders", "part", "customer")
-    )
-    rows = (
-        lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
-        .join(parts, lines["l_partkey"] == parts["p_partkey"])
-        .join(customers, orders["o_custkey"] == customers["c_custkey"])
-    )
+    """One item per line. What depends on an order, part or customer alone is worked out there."""
     order, part = F.col("o_orderkey"), F.col("p_partkey") % 10
-    category = (
+    test = F.lit(CONFIG.test_app_name)
+    orders = tables["orders"].select(
+        "o_orderkey",
+        "o_custkey",
+        F.when(order % 100 == 7, test).otherwise(F.lit("Store")).alias("app_name"),
+        F.col("o_orderdate").cast("timestamp").alias("creation_time_utc"),
+        order.cast("string").alias("order_id"),
+        F.col("o_custkey").cast("string").alias("user_id"),
+        (F.col("o_orderstatus") != "P").alias("settled"),
+    )
+    parts = tables["part"].select(
+        "p_partkey",
         F.when(part == 0, F.concat("p_type", F.lit(" https://x.y/1")))
         .when(part == 1, F.concat("p_type", F.lit("`1")))
         .when(part == 2, F.concat(F.lit(" "), F.col("p_type")))
         .otherwise(F.col("p_type"))
+        .alias("item_category"),
+        F.col("p_name").alias("item_name"),
+        F.col("p_retailprice").cast("decimal(12,2)").alias("price"),
+    )
+    customers = tables["customer"].select(
+        "c_custkey",
+        F.concat(F.lit("LOC-"), "c_nationkey").alias("restaurant_id"),
+        (F.col("c_mktsegment") == "BUILDING").alias("builder"),
     )
-    discounted = F.col("p_retailprice").cast("decimal(12,2)") * (
-        1 - F.col("l_discount").cast("decimal(3,2)")
+    lines = tables["lineitem"]
+    rows = (
+        lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
+        .join(parts, lines["l_partkey"] == parts["p_partkey"])
+        .join(customers, orders["o_custkey"] == customers["c_custkey"])
     )
+    discounted = F.col("price") * (1 - F.col("l_discount").cast("decimal(3,2)"))
     free = (F.col("l_returnflag") == "R") & (F.col("l_discount") == 0.1)
-    test = F.lit(CONFIG.test_app_name)
     return rows.select(
-        F.when(order % 100 == 7, test).otherwise(F.lit("Store")).alias("app_name"),
-        F.concat(F.lit("LOC-"), "c_nationkey").alias("restaurant_id"),
-        F.col("o_orderdate").cast("timestamp").alias("creation_time_utc"),
-        order.cast("string").alias("order_id"),
-        F.col("o_custkey").cast("string").alias("user_id"),
+        "app_name",
+        "restaurant_id",
+        "creation_time_utc",
+        "order_id",
+        "user_id",
         F.lit(None).cast("string").alias("printed_card_number"),
-        ((F.col("c_mktsegment") == "BUILDING") & (F.col("o_orderstatus") != "P")).alias(
-            "is_loyalty"
-        ),
+        (F.col("builder") & F.col("settled")).alias("is_loyalty"),
         F.lit("USD").alias("currency"),
         _line_id().alias("lineitem_id"),
-        category.alias("item_category"),
-        F.col("p_name").alias("item_name"),
+        "item_category",
+        "item_name",
         F.when(free, F.lit(0)).otherwise(discounted).cast(MONEY).alias("item_price"),
         F.col("l_quantity").cast("int").alias("item_quantity"),
     )

@@ -58,7 +58,9 @@ def read_silver(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(f"{base}/orders_enriched")
 
 
-def read_gold(spark: SparkSession, base: str, table: str, schema: T.StructType | None = None) -> DataFrame:
+def read_gold(
+    spark: SparkSession, base: str, table: str, schema: T.StructType | None = None
+) -> DataFrame:
     """A Gold table; with a schema, an absent table reads as an empty one."""
     try:
         df = spark.read.parquet(f"{base}/{table}")
@@ -66,7 +68,7 @@ def read_gold(spark: SparkSession, base: str, table: str, schema: T.StructType |
         if schema is None or error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
-    days = [c for c in ("snapshot_date", "order_date", "first_order_date", "last_order_date")]
+    days = ("snapshot_date", "order_date", "first_order_date", "last_order_date")
     return df.withColumns({c: F.to_date(c) for c in days if c in df.columns})
 
 
@@ -81,14 +83,10 @@ def count_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def write_bronze(df: DataFrame, base: str, table: str, day: date | None = None) -> int:
-    """Replace one ingestion day and leave the others."""
-    counted, seen = count_rows(df.withColumn(DAY_COLUMN, F.lit(ingestion_day(day))), table)
-    (
-        counted.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DAY_COLUMN)
-        .parquet(f"{base}/{table}")
-    )
+    """Replace one ingestion day and leave the others; an empty table replaces its day as well."""
+    counted, seen = count_rows(df, table)
+    folder = f"{base}/{table}/{DAY_COLUMN}={ingestion_day(day)}"
+    counted.write.mode("overwrite").parquet(folder)
     return seen.get["rows"]
 
 

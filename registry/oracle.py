@@ -455,6 +455,12 @@ SELECT count(*) AS rows, {dbl('min(gross_revenue)', 'min_revenue')},
        count(*) FILTER (WHERE is_bulk_order_candidate) AS bulk_rows,
        count(*) FILTER (WHERE option_row_count = 0) AS rows_without_options FROM silver""",
     "sink_gold": f"SELECT {CHURN_COLUMNS} FROM churn",
+    "src_parquet_silver": """
+SELECT restaurant_id, CAST(round(sum(gross_revenue), 2) AS DOUBLE) AS revenue FROM silver
+WHERE order_date BETWEEN DATE '1997-03-01' AND DATE '1997-03-31' GROUP BY restaurant_id""",
+    "union_parts": f"SELECT {LOCATION_COLUMNS} FROM locations",
+    "readonly_guard": """
+SELECT option_group_name, count(*) AS created_rows FROM options GROUP BY option_group_name""",
     "run_pipeline": " UNION ALL ".join(
         f"SELECT '{table}' AS gold_table, count(*) AS row_count FROM {name}"
         for table, name in GOLD_TABLES.items()

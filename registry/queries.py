@@ -26,7 +26,7 @@ from orderlens.plans.serve import rfm as rfm_page
 from orderlens.plans.serve import sales as sales_page
 from orderlens.schemas import GOLD, ORDER_ITEMS
 from orderlens.session import reliable, scratch_folder
-from orderlens.sources import files
+from orderlens.sources import files, jdbc
 
 CFG = retail.CONFIG
 YEARS = list(range(1995, 2002))
@@ -206,6 +206,39 @@ def _(f):
     return files.read_gold(f.spark, folder, "customer_churn_indicators")
 
 
+@_register("src_parquet_silver")
+def _(f):
+    """The stored Silver table, one of its months read by partition."""
+    folder = scratch_folder(f.spark)
+    files.write_silver(f.silver, folder)
+    return (
+        files.read_silver(f.spark, folder)
+        .where((F.col("year") == 1997) & (F.col("month") == 3))
+        .groupBy("restaurant_id")
+        .agg(numbers.money(F.sum("gross_revenue")).alias("revenue"))
+    )
+
+
+@_register("union_parts")
+def _(f):
+    """A Gold table in many part files reads as one."""
+    folder = scratch_folder(f.spark)
+    files.write_gold(f.loyalty.repartition(4), folder, "loyalty_comparison")
+    files.write_gold(f.locations.repartition(7), folder, "location_performance")
+    return files.read_gold(f.spark, folder, "location_performance")
+
+
+@_register("readonly_guard")
+def _(f):
+    """A guarded SELECT over the options, as the query utility runs it."""
+    f.options.createOrReplaceTempView("order_item_options")
+    return jdbc.run_select(
+        f.spark,
+        "SELECT option_group_name, count(*) AS created_rows FROM order_item_options"
+        " GROUP BY option_group_name",
+    )
+
+
 @_register("run_pipeline")
 def _(f):
     """CSV to Bronze to Silver to Gold; the rows written to each Gold table."""

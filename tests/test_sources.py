@@ -43,6 +43,8 @@ def test_bronze_days_are_replaced_one_by_one_and_the_newest_is_read(spark, tmp_p
     assert files.write_bronze(spark.range(2), base, "t", date(2024, 1, 10)) == 2
     assert files.latest_partition(spark, f"{base}/t") == "2024-01-10"
     assert rows(files.read_latest_bronze(spark, base, "t")) == [(0,), (1,)]
+    assert files.write_bronze(spark.range(0), base, "t", date(2024, 1, 10)) == 0
+    assert files.read_latest_bronze(spark, base, "t").count() == 0
     first_day = spark.read.parquet(f"{base}/t/ingestion_date=2024-01-09")
     assert first_day.count() == 3
     with pytest.raises(ValueError, match="no ingestion_date partition"):

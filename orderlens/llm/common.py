@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
+from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from orderlens.session import scratch_folder
 
@@ -39,6 +42,43 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def share_of_cores(spark: SparkSession, rows: int, rows_per_task: int) -> int:
-    """How many tasks ``rows`` need, at least the default parallelism."""
-    return max(spark.sparkContext.defaultParallelism, math.ceil(rows / rows_per_task))
+# For a batch of texts: the index of the text that each new row belongs to (None: one row per text
+# in the given order), and the new columns.
+TextFunction = Callable[[list[str]], tuple[Sequence[int] | None, dict[str, Any]]]
+
+
+def map_texts(
+    docs: DataFrame,
+    make: Callable[[], TextFunction],
+    added: str,
+    text: str = "text",
+    keep: Sequence[str] = ("doc_id",),
+    rows_at_once: int = 500,
+) -> DataFrame:
+    """Apply a function of texts inside the tasks; ``make`` builds it once per task.
+
+    The result has the columns ``keep``, untouched, and those of the schema ``added``. Null texts
+    arrive as empty ones. No shuffle; a task holds one Arrow batch.
+    """
+    extra = T.StructType.fromDDL(added)
+    schema = T.StructType([docs.schema[c] for c in keep] + extra.fields)
+    arrow = to_arrow_schema(schema)
+    hidden = "_text_to_map"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        function = make()
+        for whole in batches:
+            for at in range(0, whole.num_rows, rows_at_once):
+                batch = whole.slice(at, rows_at_once)
+                index, columns = function(batch.column(len(keep)).to_pylist())
+                kept = [batch.column(i) for i in range(len(keep))]
+                if index is not None:
+                    kept = [c.take(pa.array(index, pa.int64())) for c in kept]
+                new = [pa.array(columns[f.name], arrow.field(f.name).type) for f in extra.fields]
+                if len(new[0]):
+                    yield pa.RecordBatch.from_arrays(
+                        [c.cast(arrow.field(i).type) for i, c in enumerate(kept)] + new, schema=arrow
+                    )
+
+    picked = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias(hidden))
+    return picked.mapInArrow(run, schema)

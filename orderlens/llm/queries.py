@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlens.llm import quality_rules
+from orderlens.llm import packing, quality_rules, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,11 +15,34 @@ def _table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base}/{name}.parquet")
 
 
+def _tokenizer(name: str) -> Callable[[], str]:
+    """The place of a public vocabulary file, looked up where it is opened."""
+
+    def path() -> str:
+        import public_tokenizers
+
+        return public_tokenizers.path(name)
+
+    return path
+
+
+def op1_best_two_fit(spark: SparkSession, base: str) -> DataFrame:
+    docs = _table(spark, base, "documents")
+    return packing.pack_documents(docs, _tokenizer("word_bpe_49k.json"), capacity=2048, end_id=0)
+
+
+def op3_rank_merge_counts(spark: SparkSession, base: str) -> DataFrame:
+    docs = _table(spark, base, "documents")
+    return token_counts.count_tokens(docs, _tokenizer("piece_bpe_32k.model"), limit=4096)
+
+
 def op10_quality_divergence(spark: SparkSession, base: str) -> DataFrame:
     return quality_rules.judge(_table(spark, base, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_best_two_fit": op1_best_two_fit,
+    "op3_rank_merge_counts": op3_rank_merge_counts,
     "op10_quality_divergence": op10_quality_divergence,
 }
 

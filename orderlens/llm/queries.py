@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlens.llm import packing, quality_rules, token_counts
+from orderlens.llm import near_duplicates, packing, quality_rules, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,11 @@ def op3_rank_merge_counts(spark: SparkSession, base: str) -> DataFrame:
     return token_counts.count_tokens(docs, _tokenizer("piece_bpe_32k.model"), limit=4096)
 
 
+def op7_fast_sketch(spark: SparkSession, base: str) -> DataFrame:
+    docs = _table(spark, base, "documents")
+    return near_duplicates.find_near_duplicates(docs, shingle_words=2, percent=80)
+
+
 def op10_quality_divergence(spark: SparkSession, base: str) -> DataFrame:
     return quality_rules.judge(_table(spark, base, "documents"))
 
@@ -43,6 +48,7 @@ def op10_quality_divergence(spark: SparkSession, base: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_best_two_fit": op1_best_two_fit,
     "op3_rank_merge_counts": op3_rank_merge_counts,
+    "op7_fast_sketch": op7_fast_sketch,
     "op10_quality_divergence": op10_quality_divergence,
 }
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orderlens.llm import near_duplicates, packing, quality_rules, token_counts
+from orderlens.llm import near_duplicates, packing, quality_rules, sharding, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +37,19 @@ def op3_rank_merge_counts(spark: SparkSession, base: str) -> DataFrame:
     return token_counts.count_tokens(docs, _tokenizer("piece_bpe_32k.model"), limit=4096)
 
 
+def op5_kd_tree_shards(spark: SparkSession, base: str) -> DataFrame:
+    sharded = sharding.shard(_table(spark, base, "documents"), shards=24)
+    return sharded.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op7_fast_sketch(spark: SparkSession, base: str) -> DataFrame:
     docs = _table(spark, base, "documents")
     return near_duplicates.find_near_duplicates(docs, shingle_words=2, percent=80)
@@ -48,6 +62,7 @@ def op10_quality_divergence(spark: SparkSession, base: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_best_two_fit": op1_best_two_fit,
     "op3_rank_merge_counts": op3_rank_merge_counts,
+    "op5_kd_tree_shards": op5_kd_tree_shards,
     "op7_fast_sketch": op7_fast_sketch,
     "op10_quality_divergence": op10_quality_divergence,
 }

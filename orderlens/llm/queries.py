@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import near_duplicates, packing, quality_rules, sharding, token_counts
+from orderlens.llm import near_duplicates, packing, quality_rules, sharding, token_counts, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +37,10 @@ def op3_rank_merge_counts(spark: SparkSession, base: str) -> DataFrame:
     return token_counts.count_tokens(docs, _tokenizer("piece_bpe_32k.model"), limit=4096)
 
 
+def op4_capture_index(spark: SparkSession, base: str) -> DataFrame:
+    return warc.round_trip(_table(spark, base, "pages"), revisit_from=1000)
+
+
 def op5_kd_tree_shards(spark: SparkSession, base: str) -> DataFrame:
     sharded = sharding.shard(_table(spark, base, "documents"), shards=24)
     return sharded.select(
@@ -62,9 +66,26 @@ def op10_quality_divergence(spark: SparkSession, base: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_best_two_fit": op1_best_two_fit,
     "op3_rank_merge_counts": op3_rank_merge_counts,
+    "op4_capture_index": op4_capture_index,
     "op5_kd_tree_shards": op5_kd_tree_shards,
     "op7_fast_sketch": op7_fast_sketch,
     "op10_quality_divergence": op10_quality_divergence,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_capture_index": """
+        WITH payload AS (
+            SELECT page_id, coalesce(html, '') AS body FROM pages
+        ), digest AS (
+            SELECT page_id, octet_length(encode(body)) AS size, sha1(body) AS hex FROM payload
+        ), newest AS (
+            SELECT *, max(page_id) OVER (PARTITION BY hex) AS latest FROM digest
+        )
+        SELECT page_id,
+               size::BIGINT AS payload_bytes,
+               hex AS payload_digest,
+               CASE WHEN size >= 1000 AND page_id <> latest THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN size >= 1000 AND page_id <> latest THEN latest END AS refers_to
+        FROM newest
+    """,
+}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import near_duplicates, packing, quality_rules, sharding, token_counts, warc
+from orderlens.llm import near_duplicates, packing, quality_rules, sharding, token_counts, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,6 +54,10 @@ def op5_kd_tree_shards(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def op6_subword_softmax(spark: SparkSession, base: str) -> DataFrame:
+    return toxicity.score_toxicity(_table(spark, base, "documents"), _table(spark, base, "labels"), 0.7)
+
+
 def op7_fast_sketch(spark: SparkSession, base: str) -> DataFrame:
     docs = _table(spark, base, "documents")
     return near_duplicates.find_near_duplicates(docs, shingle_words=2, percent=80)
@@ -68,6 +72,7 @@ QUERIES: dict[str, Query] = {
     "op3_rank_merge_counts": op3_rank_merge_counts,
     "op4_capture_index": op4_capture_index,
     "op5_kd_tree_shards": op5_kd_tree_shards,
+    "op6_subword_softmax": op6_subword_softmax,
     "op7_fast_sketch": op7_fast_sketch,
     "op10_quality_divergence": op10_quality_divergence,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import near_duplicates, packing, quality_rules, sharding, token_counts, toxicity, warc
+from orderlens.llm import licenses, near_duplicates, packing, quality_rules, sharding, token_counts, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,6 +63,10 @@ def op7_fast_sketch(spark: SparkSession, base: str) -> DataFrame:
     return near_duplicates.find_near_duplicates(docs, shingle_words=2, percent=80)
 
 
+def op8_rare_token_licenses(spark: SparkSession, base: str) -> DataFrame:
+    return licenses.scan(_table(spark, base, "documents"))
+
+
 def op10_quality_divergence(spark: SparkSession, base: str) -> DataFrame:
     return quality_rules.judge(_table(spark, base, "documents"))
 
@@ -74,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "op5_kd_tree_shards": op5_kd_tree_shards,
     "op6_subword_softmax": op6_subword_softmax,
     "op7_fast_sketch": op7_fast_sketch,
+    "op8_rare_token_licenses": op8_rare_token_licenses,
     "op10_quality_divergence": op10_quality_divergence,
 }
 

@@ -29,7 +29,8 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def words_of(text: Column) -> Column:
     """The words of a text; null counts as empty, an empty text has none."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_GAP), lambda w: w != "")
+    trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(WHITE_SPACE))
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, WORD_GAP))
 
 
 def stored(df: DataFrame) -> DataFrame:

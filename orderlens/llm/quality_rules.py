@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 from orderlens.llm.common import WHITE_SPACE, WORD_GAP, let, stored, words_of
 from orderlens.session import broadcast_if_small
 
-COMMON_WORDS = 32
+COMMON_WORDS = 16
 SYMBOLS = "#*$%&|<>"
-CLASSES = ("upper", "lower", "digit", "space", "symbol", "rest")
+CLASSES = ("upper", "digit", "space", "symbol", "other")
 
 
 @dataclass(frozen=True)
@@ -83,12 +83,10 @@ def _repeated_words(words: Column) -> Column:
             let(ordered, starts)
         )
 
+    # The last two "windows" are shorter and so hash unlike any other.
     hashes = let(
         words,
-        lambda w: F.transform(
-            F.sequence(F.lit(0), F.size(w) - 3),
-            lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)),
-        ),
+        lambda w: F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2))),
     )
     return let(words, lambda w: F.when(F.size(w) < 4, F.lit(0)).otherwise(let(hashes, covered)))
 
@@ -109,20 +107,22 @@ def common_words(docs: DataFrame, text: str = "text", lang: str = "lang") -> Dat
         .groupBy("lang", "word")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    counted = stored(counted)
+    # Each task passes on the leading words it has seen, not all words of a language.
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
-    leading = (
+    return (
         counted.withColumn("rank", rank)
         .where(F.col("rank") <= COMMON_WORDS)
-        .groupBy("lang")
-        .agg(F.array_sort(F.collect_list(F.struct("rank", "word", "n"))).alias("top"))
-    )
-    totals = counted.groupBy("lang").agg(F.sum("n").alias("all_words"))
-    return leading.join(totals, leading["lang"].eqNullSafe(totals["lang"])).select(
-        leading["lang"].alias("ref_lang"),
-        F.col("top.word").alias("top_words"),
-        F.col("top.n").alias("top_counts"),
-        "all_words",
+        .groupBy(F.col("lang").alias("ref_lang"))
+        .agg(
+            F.array_sort(F.collect_list(F.struct("rank", "word", "n"))).alias("top"),
+            F.max(F.length("word")).alias("longest"),
+        )
+        .select(
+            "ref_lang",
+            F.col("top.word").alias("top_words"),
+            F.col("top.n").alias("top_counts"),
+            "longest",
+        )
     )
 
 
@@ -152,7 +152,14 @@ def _figures(docs: DataFrame, text: str, lang: str, keep: list[str]) -> DataFram
     # One letter for each word: its place among the common words, or "0".
     def places(w: Column) -> Column:
         coded = F.array_join(
-            F.transform(w, lambda x: F.char(F.lit(48) + F.array_position(F.col("top_words"), x))), ""
+            F.transform(
+                w,
+                lambda x: F.when(
+                    F.length(x) <= F.col("longest"),
+                    F.char(F.lit(48) + F.array_position(F.col("top_words"), x)),
+                ).otherwise(F.lit("0")),
+            ),
+            "",
         )
         ranks = F.sequence(F.lit(1), F.lit(COMMON_WORDS))
         each = let(
@@ -168,25 +175,22 @@ def _figures(docs: DataFrame, text: str, lang: str, keep: list[str]) -> DataFram
         words_of(body),
         lambda w: F.struct(
             F.size(w).cast("long").alias("n_words"),
+            F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
             _repeated_words(w).cast("long").alias("n_repeat_words"),
             places(w).alias("places"),
         ),
     )
     n = F.length(body)
-    chars = _length_without(body, WORD_GAP)
-    symbols = n - F.length(F.translate(body, SYMBOLS, ""))
+    symbols = _length_without(body, f"[^{SYMBOLS}]+")
     upper = _length_without(body, "\\P{Lu}+")
-    lower = _length_without(body, "\\P{Ll}+")
     digit = _length_without(body, "[^0-9]+")
     table = docs.select(
         *keep,
         F.col(lang).alias("ref_lang"),
-        chars.cast("long").alias("word_chars"),
         symbols.cast("long").alias("n_symbols"),
         _duplicate_lines(body).cast("long").alias("n_dup_lines"),
         n.cast("long").alias("_n"),
         upper.cast("long").alias("upper"),
-        lower.cast("long").alias("lower"),
         digit.cast("long").alias("digit"),
         of_words.alias("_w"),
     )
@@ -194,18 +198,15 @@ def _figures(docs: DataFrame, text: str, lang: str, keep: list[str]) -> DataFram
         *keep,
         "ref_lang",
         F.col("_w.n_words").alias("n_words"),
-        "word_chars",
+        F.col("_w.word_chars").alias("word_chars"),
         "n_symbols",
         "n_dup_lines",
         F.col("_w.n_repeat_words").alias("n_repeat_words"),
         "upper",
-        "lower",
         "digit",
-        (F.col("_n") - F.col("word_chars")).alias("space"),
+        (F.col("_n") - F.col("_w.word_chars")).alias("space"),
         F.col("n_symbols").alias("symbol"),
-        (
-            F.col("word_chars") - F.col("upper") - F.col("lower") - F.col("digit") - F.col("n_symbols")
-        ).alias("rest"),
+        (F.col("_w.word_chars") - F.col("upper") - F.col("digit") - F.col("n_symbols")).alias("other"),
         F.col("_w.places").alias("places"),
     )
 
@@ -230,7 +231,9 @@ def judge(
         )
     )
     # Per language one row, so its class totals and common words are as small as the word table.
-    classes = figures.groupBy("ref_lang").agg(*[F.sum(c).alias(f"ref_{c}") for c in CLASSES])
+    classes = figures.groupBy("ref_lang").agg(
+        F.sum("n_words").alias("all_words"), *[F.sum(c).alias(f"ref_{c}") for c in CLASSES]
+    )
     reference = words.join(classes, words["ref_lang"].eqNullSafe(classes["ref_lang"])).drop(
         classes["ref_lang"]
     )
@@ -279,3 +282,11 @@ def judge(
             "word_distance",
         )
     )
+
+
+def keep_good(docs: DataFrame, rules: Rules = Rules(), text: str = "text", lang: str = "lang") -> DataFrame:
+    """The documents that pass, all columns. A document needs no id to be judged."""
+    row = "_quality_row"
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()))
+    failed = stored(judge(numbered, rules, text, lang, (row,)).where("not kept").select(row))
+    return numbered.join(broadcast_if_small(failed), row, "left_anti").select(*docs.columns)

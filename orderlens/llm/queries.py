@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import licenses, near_duplicates, packing, quality_rules, sharding, token_counts, toxicity, warc
+from orderlens.llm import licenses, near_duplicates, packing, pii, quality_rules, sharding, token_counts, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +67,10 @@ def op8_rare_token_licenses(spark: SparkSession, base: str) -> DataFrame:
     return licenses.scan(_table(spark, base, "documents"))
 
 
+def op9_weak_supervision_pii(spark: SparkSession, base: str) -> DataFrame:
+    return pii.digest(pii.find_personal_data(_table(spark, base, "documents")))
+
+
 def op10_quality_divergence(spark: SparkSession, base: str) -> DataFrame:
     return quality_rules.judge(_table(spark, base, "documents"))
 
@@ -79,6 +83,7 @@ QUERIES: dict[str, Query] = {
     "op6_subword_softmax": op6_subword_softmax,
     "op7_fast_sketch": op7_fast_sketch,
     "op8_rare_token_licenses": op8_rare_token_licenses,
+    "op9_weak_supervision_pii": op9_weak_supervision_pii,
     "op10_quality_divergence": op10_quality_divergence,
 }
 

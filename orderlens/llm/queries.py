@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import licenses, near_duplicates, packing, pii, quality_rules, sharding, token_counts, toxicity, warc
+from orderlens.llm import decontaminate, licenses, near_duplicates, packing, pii, quality_rules, sharding, token_counts, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,10 @@ def op1_best_two_fit(spark: SparkSession, base: str) -> DataFrame:
     return packing.pack_documents(docs, _tokenizer("word_bpe_49k.json"), capacity=2048, end_id=0)
 
 
+def op2_template_decontamination(spark: SparkSession, base: str) -> DataFrame:
+    return decontaminate.find_contaminated(_table(spark, base, "documents"), _table(spark, base, "benchmark"))
+
+
 def op3_rank_merge_counts(spark: SparkSession, base: str) -> DataFrame:
     docs = _table(spark, base, "documents")
     return token_counts.count_tokens(docs, _tokenizer("piece_bpe_32k.model"), limit=4096)
@@ -77,6 +81,7 @@ def op10_quality_divergence(spark: SparkSession, base: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_best_two_fit": op1_best_two_fit,
+    "op2_template_decontamination": op2_template_decontamination,
     "op3_rank_merge_counts": op3_rank_merge_counts,
     "op4_capture_index": op4_capture_index,
     "op5_kd_tree_shards": op5_kd_tree_shards,

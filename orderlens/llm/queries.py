@@ -16,7 +16,7 @@ def _table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base}/{name}.parquet")
 
 
-def _tokenizer(name: str) -> Callable[[], str]:
+def public_tokenizer(name: str) -> Callable[[], str]:
     """The place of a public vocabulary file, looked up where it is opened."""
 
     def path() -> str:
@@ -29,7 +29,7 @@ def _tokenizer(name: str) -> Callable[[], str]:
 
 def op1_best_two_fit(spark: SparkSession, base: str) -> DataFrame:
     docs = _table(spark, base, "documents")
-    return packing.pack_documents(docs, _tokenizer("word_bpe_49k.json"), capacity=2048, end_id=0)
+    return packing.pack_documents(docs, public_tokenizer("word_bpe_49k.json"), capacity=2048, end_id=0)
 
 
 def op2_template_decontamination(spark: SparkSession, base: str) -> DataFrame:
@@ -38,7 +38,7 @@ def op2_template_decontamination(spark: SparkSession, base: str) -> DataFrame:
 
 def op3_rank_merge_counts(spark: SparkSession, base: str) -> DataFrame:
     docs = _table(spark, base, "documents")
-    return token_counts.count_tokens(docs, _tokenizer("piece_bpe_32k.model"), limit=4096)
+    return token_counts.count_tokens(docs, public_tokenizer("piece_bpe_32k.model"), limit=4096)
 
 
 def op4_capture_index(spark: SparkSession, base: str) -> DataFrame:

@@ -11,11 +11,12 @@
    of the buckets with a chance of (1 - 0.8^6)^42 < 3e-6.
 4. Candidates: no bucket is expanded into its pairs. Every member is paired with the bucket's leader
    (the member that shares most buckets overall, usually the original of a group of copies), and
-   those pairs are verified on the full sets. Two members already connected need no test. Members
-   that are not connected to their leader are then paired with those members of the bucket they are
-   not connected to. So every pair of a bucket is verified or connected through verified links. The
-   second step compares sketches inside the join first: pairs with more than ``MOST_UNLIKE`` unequal
-   bins (5.5 standard deviations past 0.8) are not emitted.
+   those pairs are verified on the full sets. Two members already connected need no test. A member
+   that is apart from its leader's component is compared with that component's members, inside a
+   join that emits links only; members that are both apart are compared with each other in the first
+   bucket they share. Either join looks at sketches first: more than ``MOST_UNLIKE`` unequal bins
+   (5.5 standard deviations past 0.8) rule a pair out. So every pair of a bucket is verified or
+   connected through verified links.
 5. Verified links give components; the joins spread hot buckets, whose rows are ids only.
 
 Defined results: a null or empty text (or one without words) has no shingles, is linked with
@@ -187,6 +188,64 @@ def _close_in_size(a: str, b: str, percent: int) -> Column:
     return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
 
 
+def _apart_from_main(
+    apart: DataFrame, weights: DataFrame, connected: DataFrame, details: DataFrame, percent: int
+) -> DataFrame:
+    """Links from members that are apart to any member of their leaders' components.
+
+    Each node is met once per component, not once per shared bucket, and the full sets are compared
+    inside the join, so only links leave it; a large component is split like any hot join key.
+    """
+    wanted = apart.select(F.col("node").alias("a"), "main").distinct()
+    mine = wanted.join(
+        details.select(
+            F.col("node").alias("a"),
+            F.col("n").alias("a_n"),
+            F.col("signature").alias("a_signature"),
+            F.col("shingles").alias("of_a"),
+        ),
+        "a",
+    )
+    members = (
+        weights.select("node")
+        .join(connected, "node", "left")
+        .select("node", F.coalesce("component", "node").alias("main"))
+        .join(wanted.select("main").distinct(), "main", "left_semi")
+        .join(details, "node")
+    )
+    common = F.size(F.array_intersect("of_a", "shingles"))
+    return (
+        stored(mine)
+        .join(stored(members), "main")
+        .where(
+            _close_in_size("n", "a_n", percent)
+            & (_unlike("signature", "a_signature") <= MOST_UNLIKE)
+            & (common * (100 + percent) >= percent * (F.col("n") + F.col("a_n")))
+        )
+        .select("a", F.col("node").alias("b"))
+    )
+
+
+def _apart_together(apart: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs of members that are both apart from the same leader, each pair once."""
+    rows = stored(
+        apart.join(classes.select("node", F.col("n_shingles").alias("n"), "bands", "signature"), "node")
+    )
+    other = rows.select(*[F.col(c).alias(c if c == "bucket" else f"o_{c}") for c in rows.columns])
+    first_shared = F.get(F.array_intersect("bands", "o_bands"), F.lit(0))
+    return (
+        rows.join(other, "bucket")
+        .where(
+            (F.col("node") < F.col("o_node"))
+            & (F.col("component") != F.col("o_component"))
+            & _close_in_size("n", "o_n", percent)
+            & (_unlike("signature", "o_signature") <= MOST_UNLIKE)
+            & (first_shared == F.col("bucket"))
+        )
+        .select(F.col("node").alias("a"), F.col("o_node").alias("b"))
+    )
+
+
 def _links(docs: DataFrame, classes: DataFrame, words: int, percent: int, text: str, key: str) -> DataFrame:
     """Components of the classes, each by its smallest id; classes without a link are left out."""
     members = classes.select(F.explode("bands").alias("bucket"), "node", F.col("n_shingles").alias("n"))
@@ -210,40 +269,24 @@ def _links(docs: DataFrame, classes: DataFrame, words: int, percent: int, text:
     )
     links = stored(_verified(first, sets, percent))
     connected = stored(components(links))
-    # What is still apart from its leader is compared with the rest of the bucket.
-    placed = (
-        dense.join(connected, "node", "left")
-        .join(leaders, "bucket")
-        .select("bucket", "node", "n", "leader", F.coalesce("component", "node").alias("component"))
-    )
     of_leader = connected.select(F.col("node").alias("leader"), F.col("component").alias("main"))
-    placed = stored(
-        placed.join(of_leader, "leader", "left")
+    apart = stored(
+        dense.join(leaders, "bucket")
         .where("node <> leader")
-        .withColumn("apart", F.col("component") != F.coalesce("main", "leader"))
-    )
-    open_buckets = stored(placed.where("apart").select("bucket").distinct())
-    signatures = classes.select("node", "signature")
-    rest = stored(placed.join(open_buckets, "bucket", "left_semi").join(signatures, "node"))
-    out = rest.where("apart").select(
-        "bucket",
-        F.col("node").alias("a"),
-        F.col("n").alias("a_n"),
-        F.col("component").alias("a_component"),
-        F.col("signature").alias("a_signature"),
-    )
-    second = (
-        out.join(rest, "bucket")
-        .where(
-            (F.col("component") != F.col("a_component"))
-            & (~F.col("apart") | (F.col("a") < F.col("node")))
-            & _close_in_size("n", "a_n", percent)
-            & (_unlike("signature", "a_signature") <= MOST_UNLIKE)
+        .join(connected, "node", "left")
+        .join(of_leader, "leader", "left")
+        .select(
+            "bucket",
+            "node",
+            F.coalesce("component", "node").alias("component"),
+            F.coalesce("main", "leader").alias("main"),
         )
-        .select("a", F.col("node").alias("b"))
-        .distinct()
+        .where("component <> main")
     )
-    more = stored(_verified(second, sets, percent))
+    details = classes.select("node", F.col("n_shingles").alias("n"), "signature").join(sets, "node")
+    near = stored(_apart_from_main(apart, weights, connected, details, percent))
+    among = _apart_together(apart, classes, percent)
+    more = stored(near.union(_verified(among, sets, percent)).distinct())
     if more.isEmpty():
         return connected
     # The later links only join whole components, so few nodes take part.

@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 
 def parse_iso_timestamp(raw: Column) -> Column:
-    """ISO-8601 text, with or without fraction and zone; unreadable text becomes null."""
-    return raw.try_cast("timestamp")
+    """ISO-8601 text, with or without fraction and zone; unreadable text becomes null.
+
+    The cast alone would read a lone time as today and a long number as a year.
+    """
+    return F.when(raw.rlike(r"^\s*\d{4}-\d{2}-\d{2}(?!\d)"), raw.try_cast("timestamp"))
 
 
 def order_day(timestamp: Column) -> Column:

@@ -1,7 +1,7 @@
 """Exact money arithmetic.
 
-Money is decimal. A quotient is rounded half-up on whole units, so that a tie such as 2.505 is a
-tie in binary arithmetic as well and never depends on how a decimal fraction is approximated.
+Money is decimal. A quotient is rounded half-up (away from zero) on whole decimal numbers of 38
+digits, so it is exact for amounts far beyond what a double can hold.
 """
 
 from __future__ import annotations
@@ -11,17 +11,22 @@ from pyspark.sql import functions as F
 
 # Every amount has at most four decimals: amount * UNIT is a whole number.
 UNIT = 10_000
+_WHOLE = "decimal(38,0)"
 
 
 def _units(amount: Column) -> Column:
-    return F.rint(amount.cast("double") * F.lit(float(UNIT)))
+    return (amount.cast("decimal(28,4)") * F.lit(UNIT)).cast(_WHOLE)
 
 
 def safe_ratio(numerator: Column, denominator: Column, places: int = 2, factor: int = 1) -> Column:
     """``round(factor * numerator / denominator, places)``; null when the denominator is 0."""
-    step = float(10**places)
-    quotient = F.try_divide(_units(numerator) * F.lit(step * factor), _units(denominator))
-    return (F.round(quotient) / F.lit(step)).cast(f"decimal(20,{places})")
+    n, d = _units(numerator), _units(denominator)
+    # floor(|n| * step / |d| + 1/2) as a quotient of whole numbers.
+    above = (F.abs(n) * F.lit(2 * factor * 10**places)).cast(_WHOLE) + F.abs(d)
+    below = (F.abs(d) * F.lit(2)).cast(_WHOLE)
+    whole = F.try_divide((above - above % below).cast(_WHOLE), below).cast(_WHOLE)
+    signed = F.when((n < 0) != (d < 0), -whole).otherwise(whole)
+    return F.when(d != 0, (signed / F.lit(10**places)).cast(f"decimal(20,{places})"))
 
 
 def percent(part: Column, whole: Column, places: int = 2) -> Column:

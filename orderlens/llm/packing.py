@@ -34,9 +34,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from orderlens.llm.common import TextFunction, map_texts, stored
 from orderlens.operators.ordering import rows_before
 
-REMEMBERED = 400_000
-# White space at which the tokenizer's words always end.
-_GAP = re.compile("[ \\t\\n\\r]+")
+REMEMBERED = 1_000_000
+# Letters that then end in signs: the tokenizer lower-cases, and cuts between the two. (No
+# apostrophe, which it may join with letters, and only letters whose lower case is one letter.)
+_LETTERS_AND_SIGNS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]*)")
 
 
 class Encoder:
@@ -51,16 +52,36 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.seen: dict[str, bytes] = {}
 
+    def _learn(self, words: list[str]) -> None:
+        # Each word is one item of a list, so the library has no text to cut.
+        for i in range(0, len(words), 2_000):
+            some = words[i : i + 2_000]
+            encoded = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(encoded.ids, "<u4")
+            ends = np.cumsum(np.bincount(np.array(encoded.word_ids, dtype=np.int64), minlength=len(some)))
+            for word, start, end in zip(some, [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+                self.seen[word] = ids[start:end].tobytes()
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.seen) > REMEMBERED:
             self.seen = {}
-        split = [_GAP.split(t) for t in texts]
-        new = list(set().union(*split).difference(self.seen))
-        for i in range(0, len(new), 20_000):
-            some = new[i : i + 20_000]
-            encoded = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            self.seen.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(some, encoded, strict=True))
+        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        new = set().union(*split).difference(self.seen)
+        made: dict[str, tuple[str, str]] = {}
+        needed = set()
+        for word in new:
+            if match := _LETTERS_AND_SIGNS.fullmatch(word):
+                letters, signs = match.groups()
+                made[word] = (letters.lower(), signs)
+                needed.update(made[word])
+            else:
+                needed.add(word)
+        needed.discard("")
+        self.seen[""] = b""
+        self._learn(list(needed.difference(self.seen)))
         known = self.seen.__getitem__
+        for word, (letters, signs) in made.items():
+            self.seen[word] = known(letters) + known(signs)
         return [b"".join(map(known, words)) for words in split]
 
 

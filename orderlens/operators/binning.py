@@ -10,9 +10,19 @@ from pyspark.sql import functions as F
 from orderlens.session import reliable
 
 
-def _widths(smallest: Decimal) -> list[Decimal]:
-    """1, 2, 5, 10, 20, 50 ... times ``smallest``, far enough for any span in days or money."""
-    return [smallest * step * 10**power for power in range(12) for step in (1, 2, 5)]
+def _width(span: Column, max_bins: int, smallest: Decimal) -> Column:
+    """The smallest of 1, 2, 5, 10, 20, 50 ... times ``smallest`` that spans ``span`` in ``max_bins``."""
+    steps = span.cast("double") / float(max_bins * smallest)
+    # One power of ten too low at most, as logarithms are rounded; the next two are tried as well.
+    power = F.greatest(F.floor(F.log10(F.greatest(steps, F.lit(1.0)))) - 1, F.lit(0))
+    candidates = F.transform(
+        F.sequence(F.lit(0), F.lit(8)),
+        lambda i: (
+            F.pow(F.lit(10.0), power + F.floor(i / 3)).cast("decimal(24,0)")
+            * F.element_at(F.array(*[F.lit(smallest * k) for k in (1, 2, 5)]), (i % 3 + 1).cast("int"))
+        ).cast("decimal(28,4)"),
+    )
+    return F.filter(candidates, lambda width: width * max_bins >= span).getItem(0)
 
 
 def histogram(
@@ -29,11 +39,7 @@ def histogram(
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
     span = F.max("_value") - F.min("_value")
-    fitting = F.filter(
-        F.array(*[F.lit(w).cast("decimal(20,4)") for w in _widths(smallest)]),
-        lambda width: width * max_bins >= span,
-    )
-    widest = folded.agg(F.try_element_at(fitting, F.lit(1)).alias("width")).scalar()
+    widest = folded.agg(_width(span, max_bins, smallest).cast("decimal(20,4)").alias("width")).scalar()
     start = F.floor(F.col("_value") / F.col("bin_width")) * F.col("bin_width")
     return (
         folded.withColumn("bin_width", widest)

@@ -52,8 +52,8 @@ def serve_hist_gap(churn: DataFrame, bins: int = 40) -> DataFrame:
     return histogram(usual, "avg_order_gap_days", "churn_risk_flag", bins, Decimal("0.1"))
 
 
-def serve_spend_buckets(churn: DataFrame, with_out_of_range: bool = False) -> DataFrame:
-    """Customers per bin of spend change; values beyond the outer edges only on request."""
+def serve_spend_buckets(churn: DataFrame, with_out_of_range: bool = True) -> DataFrame:
+    """Customers per bin of spend change, with a row for values beyond the outer edges."""
     labels = SPEND_LABELS + ([OUT_OF_RANGE] if with_out_of_range else [])
     bucket = right_closed_bin(F.col("spend_change_pct"), SPEND_EDGES, SPEND_LABELS)
     counts = (

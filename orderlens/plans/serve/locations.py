@@ -12,10 +12,10 @@ from orderlens.functions.numbers import mean, money
 from orderlens.functions.text import location_label, ranked_location_label
 from orderlens.operators.ordering import quantile
 from orderlens.operators.tables import top
+from orderlens.session import broadcast_if_small, reliable
 
 SORTABLE = ("total_revenue", "avg_order_value", "total_orders", "unique_customers")
 DEFAULT_COMPARED = 10
-MOST_COMPARED = 40
 
 
 def serve_location_topn(
@@ -76,19 +76,23 @@ def serve_location_scorecard(locations: DataFrame) -> DataFrame:
 
 
 def serve_location_monthly(
-    trends: DataFrame, locations: DataFrame, chosen: Sequence[str] | None = None
+    trends: DataFrame,
+    locations: DataFrame,
+    chosen: Sequence[str] | None = None,
+    first: int = DEFAULT_COMPARED,
 ) -> DataFrame:
-    """Monthly revenue of the chosen locations (default: the first 10; at most the first 40)."""
+    """Monthly revenue of all chosen locations, whatever their rank (default: the ``first`` ones)."""
     ranked = locations.orderBy("revenue_rank", "restaurant_id")
     if chosen is None:
-        compared = ranked.limit(DEFAULT_COMPARED)
+        compared = ranked.limit(first)
     else:
-        compared = ranked.limit(MOST_COMPARED).where(F.col("restaurant_id").isin(list(chosen)))
+        compared = locations.where(F.col("restaurant_id").isin(list(chosen)))
     label = ranked_location_label(F.col("revenue_rank"), F.col("restaurant_id"))
-    # At most 40 rows.
-    labels = F.broadcast(compared.select("restaurant_id", label.alias("location_label")))
+    labels = broadcast_if_small(
+        reliable(compared.select("restaurant_id", label.alias("location_label")))
+    )
     monthly = (
-        trends.join(F.broadcast(compared.select("restaurant_id")), "restaurant_id", "left_semi")
+        trends.join(labels, "restaurant_id", "left_semi")
         .where(F.col("order_date").isNotNull())
         .groupBy(month_start(F.col("order_date")).alias("month_start"), "restaurant_id")
         .agg(money(F.sum("total_revenue")).alias("total_revenue"))

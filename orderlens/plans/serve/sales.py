@@ -12,6 +12,7 @@ from orderlens.functions.dates import period_start
 from orderlens.functions.numbers import mean, money, percent, safe_ratio, zero_if_null
 from orderlens.functions.text import bool_label
 from orderlens.operators.tables import with_share
+from orderlens.session import reliable
 
 
 def serve_sales_filter(
@@ -93,14 +94,29 @@ def serve_revenue_by_weekday(trends: DataFrame) -> DataFrame:
     )
 
 
-def serve_month_year_matrix(trends: DataFrame, years: Sequence[int]) -> DataFrame:
-    """Revenue by calendar month and year; the years are given, so no extra pass finds them."""
+def serve_month_year_matrix(trends: DataFrame, years: Sequence[int] | None = None) -> DataFrame:
+    """Revenue by calendar month and year.
+
+    The years are those of the data. A given list fixes the columns; a year of the data that it
+    leaves out is an error, not a loss.
+    """
     day = F.col("order_date")
-    return (
+    # Twelve rows a year.
+    folded = reliable(
         trends.where(day.isNotNull())
-        .groupBy(F.month(day).alias("month_number"), F.date_format(day, "MMM").alias("month_name"))
-        .pivot("year", list(years))
-        .agg(money(F.sum("total_revenue")))
+        .groupBy(
+            F.month(day).alias("month_number"), F.date_format(day, "MMM").alias("month_name"), "year"
+        )
+        .agg(F.sum("total_revenue").alias("revenue"))
+    )
+    found = {r["year"] for r in folded.select("year").distinct().collect()}
+    years = sorted(found if years is None else years)
+    if missing := found.difference(years):
+        raise ValueError(f"years without a column: {sorted(missing)}")
+    return (
+        folded.groupBy("month_number", "month_name")
+        .pivot("year", years)
+        .agg(money(F.sum("revenue")))
         .fillna(0)
         .withColumnsRenamed({str(y): f"revenue_{y}" for y in years})
         .orderBy("month_number")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -31,15 +32,19 @@ def read_typed_csv(
 
 
 def latest_partition(spark: SparkSession, root: str) -> str:
-    """The newest ``ingestion_date=`` value under ``root``: one listing, no data is read."""
+    """The newest complete ``ingestion_date=`` day under ``root``; no data is read.
+
+    Only ISO dates count, and only folders whose write left its success marker.
+    """
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(root)
     files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     names = [s.getPath().getName() for s in files.listStatus(path)] if files.exists(path) else []
-    days = [n.split("=", 1)[1] for n in names if n.startswith(f"{DAY_COLUMN}=")]
-    if not days:
-        raise ValueError(f"no {DAY_COLUMN} partition under {root}")
-    return max(days)
+    days = [n.split("=", 1)[1] for n in names if re.fullmatch(rf"{DAY_COLUMN}=\d{{4}}-\d{{2}}-\d{{2}}", n)]
+    for day in sorted(days, reverse=True):
+        if files.exists(jvm.org.apache.hadoop.fs.Path(f"{root}/{DAY_COLUMN}={day}/_SUCCESS")):
+            return day
+    raise ValueError(f"no complete {DAY_COLUMN} partition under {root}")
 
 
 def drop_partition_column(df: DataFrame) -> DataFrame:
@@ -98,7 +103,8 @@ def write_silver(silver: DataFrame, base: str, incremental: bool = False) -> dic
     """
     seen = Observation("orders_enriched")
     revenue = F.col("gross_revenue")
-    observed = silver.observe(
+    # Observed after the shuffle: a map stage that runs again would count twice.
+    observed = silver.hint("rebalance", "year", "month").observe(
         seen,
         F.count(F.lit(1)).alias("rows"),
         F.min(revenue).alias("min_revenue"),
@@ -109,8 +115,7 @@ def write_silver(silver: DataFrame, base: str, incremental: bool = False) -> dic
         F.count_if(F.col("option_row_count") == 0).alias("rows_without_options"),
     )
     (
-        observed.hint("rebalance", "year", "month")
-        .write.mode("overwrite")
+        observed.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if incremental else "static")
         .partitionBy("year", "month")
         .parquet(f"{base}/orders_enriched")

@@ -1,8 +1,7 @@
 """The registered queries as SQL over the given tables, written independently of the Spark code.
 
 ``TABLES`` holds the intermediate tables as common table expressions in dependency order;
-``ORACLE`` the final SELECT per query. Quotients are rounded half-up on whole units, as in the
-library, since binary rounding of decimal fractions differs between engines.
+``ORACLE`` the final SELECT per query. Quotients are rounded half-up by long division in whole numbers.
 """
 
 from __future__ import annotations
@@ -11,11 +10,13 @@ import re
 
 
 def ratio(num: str, den: str, places: int = 2, factor: int = 1) -> str:
+    """Long division in HUGEINT: quotient, and one more if twice the remainder reaches the divisor."""
     step = 10**places
-    return (
-        f"(round(round(CAST({num} AS DOUBLE) * 10000) * {step * factor}.0"
-        f" / nullif(round(CAST({den} AS DOUBLE) * 10000), 0)) / {step}.0)"
-    )
+    n = f"CAST(CAST({num} AS DECIMAL(28, 4)) * 10000 AS HUGEINT)"
+    d = f"nullif(CAST(CAST({den} AS DECIMAL(28, 4)) * 10000 AS HUGEINT), 0)"
+    top = f"(abs({n}) * {step * factor})"
+    up = f"CASE WHEN 2 * ({top} % abs({d})) >= abs({d}) THEN 1 ELSE 0 END"
+    return f"(CAST(sign({n}) * sign({d}) * ({top} // abs({d}) + {up}) AS DOUBLE) / {step}.0)"
 
 
 def pct(part: str, whole: str, places: int = 2) -> str:
@@ -456,8 +457,8 @@ SELECT count(*) AS rows, {dbl('min(gross_revenue)', 'min_revenue')},
        count(*) FILTER (WHERE option_row_count = 0) AS rows_without_options FROM silver""",
     "sink_gold": f"SELECT {CHURN_COLUMNS} FROM churn",
     "src_parquet_silver": """
-SELECT restaurant_id, CAST(round(sum(gross_revenue), 2) AS DOUBLE) AS revenue FROM silver
-WHERE order_date BETWEEN DATE '1997-03-01' AND DATE '1997-03-31' GROUP BY restaurant_id""",
+SELECT restaurant_id, CAST(year(order_date) AS INTEGER) AS year, CAST(month(order_date) AS INTEGER) AS month,
+       CAST(round(sum(gross_revenue), 2) AS DOUBLE) AS revenue FROM silver GROUP BY ALL""",
     "union_parts": f"SELECT {LOCATION_COLUMNS} FROM locations",
     "readonly_guard": """
 SELECT option_group_name, count(*) AS created_rows FROM options GROUP BY option_group_name""",

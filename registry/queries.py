@@ -29,7 +29,6 @@ from orderlens.session import reliable, scratch_folder
 from orderlens.sources import files, jdbc
 
 CFG = retail.CONFIG
-YEARS = list(range(1995, 2002))
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -208,13 +207,12 @@ def _(f):
 
 @_register("src_parquet_silver")
 def _(f):
-    """The stored Silver table, one of its months read by partition."""
+    """The stored Silver table, all of it."""
     folder = scratch_folder(f.spark)
     files.write_silver(f.silver, folder)
     return (
         files.read_silver(f.spark, folder)
-        .where((F.col("year") == 1997) & (F.col("month") == 3))
-        .groupBy("restaurant_id")
+        .groupBy("restaurant_id", "year", "month")
         .agg(numbers.money(F.sum("gross_revenue")).alias("revenue"))
     )
 
@@ -698,7 +696,7 @@ _BUILDERS |= {
     "serve_churn_kpis": lambda f: churn_page.serve_churn_kpis(f.churn_table),
     "serve_hist_inactivity": lambda f: churn_page.serve_hist_inactivity(f.churn),
     "serve_hist_gap": lambda f: churn_page.serve_hist_gap(f.churn_table),
-    "serve_spend_buckets": lambda f: churn_page.serve_spend_buckets(f.churn, True),
+    "serve_spend_buckets": lambda f: churn_page.serve_spend_buckets(f.churn),
     "serve_revenue_at_stake": lambda f: churn_page.serve_revenue_at_stake(f.churn),
     "serve_churn_spend_box": lambda f: churn_page.serve_churn_spend_box(f.churn_table),
     "serve_at_risk_top50": lambda f: churn_page.serve_at_risk_top50(f.churn),
@@ -712,7 +710,7 @@ _BUILDERS |= {
     "serve_exact_orders": lambda f: sales_page.serve_exact_orders(f.silver, "monthly"),
     "serve_category_share": lambda f: sales_page.serve_category_share(f.trends_table),
     "serve_revenue_by_weekday": lambda f: sales_page.serve_revenue_by_weekday(f.trends),
-    "serve_month_year_matrix": lambda f: sales_page.serve_month_year_matrix(f.trends, YEARS),
+    "serve_month_year_matrix": lambda f: sales_page.serve_month_year_matrix(f.trends),
     "serve_holiday_impact": lambda f: sales_page.serve_holiday_impact(f.trends),
     "serve_named_holidays": lambda f: sales_page.serve_named_holidays(f.trends),
     "serve_loyalty_overview": lambda f: loyalty_page.serve_loyalty_overview(f.loyalty),

@@ -1,6 +1,8 @@
 from datetime import date
 from decimal import Decimal
 
+import pytest
+
 from orderlens.plans.serve import churn, clv, locations, loyalty, overview, promo, rfm, sales
 
 from conftest import rows
@@ -20,11 +22,11 @@ def test_spend_buckets_are_right_closed_and_show_empty_bins(spark):
     changes = ["-200", "-199.99", "-50", "-10", "10", "50", "200", "201"]
     df = churners(spark, *[(c, 1, None, 1, Decimal(1), Decimal(c), False) for c in changes])
     assert rows(churn.serve_spend_buckets(df), "position", "customers") == [
-        (0, 2), (1, 1), (2, 1), (3, 1), (4, 1),
+        (0, 2), (1, 1), (2, 1), (3, 1), (4, 1), (5, 2),
     ]
-    assert rows(churn.serve_spend_buckets(df, True), "position", "customers")[5] == (5, 2)
+    assert len(rows(churn.serve_spend_buckets(df, False))) == 5
     none = df.where("user_id = 'nobody'")
-    assert rows(churn.serve_spend_buckets(none), "customers") == [(0,)] * 5
+    assert rows(churn.serve_spend_buckets(none), "customers") == [(0,)] * 6
 
 
 def test_rethreshold(spark):
@@ -145,6 +147,9 @@ def test_null_keys_are_left_out_and_empty_frames_give_zero(spark):
 def test_month_year_matrix_fills_gaps(spark):
     got = sales.serve_month_year_matrix(trends(spark), [2023, 2024])
     assert rows(got) == [(1, "Jan", Decimal("0.00"), Decimal("50.00"))]
+    assert sales.serve_month_year_matrix(trends(spark)).columns[2:] == ["revenue_2024"]
+    with pytest.raises(ValueError):
+        sales.serve_month_year_matrix(trends(spark), [2023])
 
 
 def test_loyalty_without_members(spark):
@@ -180,15 +185,27 @@ def test_extremes_always_list_five(spark):
     assert got.groupBy("side").count().where("count = 5").count() == 2
 
 
-def test_compared_locations_are_limited_to_the_first_forty(spark):
+def test_all_chosen_locations_are_compared(spark):
     sold = spark.createDataFrame(
         [(date(2024, 1, 1), f"R{i:02d}", Decimal(1)) for i in range(45)],
         "order_date date, restaurant_id string, total_revenue decimal(20,2)",
     )
     df = places(spark, 45)
     assert locations.serve_location_monthly(sold, df).count() == 10
-    got = locations.serve_location_monthly(sold, df, ["R39", "R40"])
-    assert rows(got, "restaurant_id", "location_label") == [("R39", "#40 Loc-R39")]
+    assert locations.serve_location_monthly(sold, df, first=3).count() == 3
+    got = locations.serve_location_monthly(sold, df, ["R39", "R40", "R44"])
+    assert rows(got, "restaurant_id", "location_label") == [
+        ("R39", "#40 Loc-R39"), ("R40", "#41 Loc-R40"), ("R44", "#45 Loc-R44"),
+    ]
+
+
+def test_histograms_take_any_span(spark):
+    from orderlens.operators.binning import histogram
+
+    df = spark.createDataFrame([(True, Decimal(0)), (True, Decimal("9e14")), (False, Decimal(7))], "g boolean, v decimal(20,4)")
+    got = histogram(df, "v", "g")
+    assert {r["bin_width"] for r in got.collect()} == {Decimal("5e13")}
+    assert sum(r["customers"] for r in got.collect()) == 3
 
 
 def test_basket_lift_needs_both_kinds(spark):

@@ -47,7 +47,7 @@ def test_bronze_days_are_replaced_one_by_one_and_the_newest_is_read(spark, tmp_p
     assert files.read_latest_bronze(spark, base, "t").count() == 0
     first_day = spark.read.parquet(f"{base}/t/ingestion_date=2024-01-09")
     assert first_day.count() == 3
-    with pytest.raises(ValueError, match="no ingestion_date partition"):
+    with pytest.raises(ValueError, match="no complete ingestion_date partition"):
         files.read_latest_bronze(spark, base, "absent")
 
 
@@ -168,3 +168,11 @@ def test_jdbc_options():
 
 def test_schema_has_the_loader_columns():
     assert len(ORDER_ITEMS) == 13 and len(ORDER_ITEM_OPTIONS) == 6
+
+
+def test_incomplete_and_oddly_named_days_are_passed_over(spark, tmp_path):
+    df = spark.createDataFrame([(1,)], "n int")
+    files.write_bronze(df, str(tmp_path), "t", date(2024, 1, 1))
+    (tmp_path / "t" / "ingestion_date=2024-02-02").mkdir()
+    (tmp_path / "t" / "ingestion_date=__HIVE_DEFAULT_PARTITION__").mkdir()
+    assert files.latest_partition(spark, f"{tmp_path}/t") == "2024-01-01"

@@ -19,8 +19,10 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import functools
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -38,6 +40,9 @@ REMEMBERED = 1_000_000
 # Letters that then end in signs: the tokenizer lower-cases, and cuts between the two. (No
 # apostrophe, which it may join with letters, and only letters whose lower case is one letter.)
 _LETTERS_AND_SIGNS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]*)")
+# How byte-level vocabularies write bytes that do not print in Latin-1: from code point 256 on.
+_HIDDEN = [*range(33), *range(127, 161), 173]
+_BYTE_LETTERS = {b: 256 + i for i, b in enumerate(_HIDDEN)}
 
 
 class Encoder:
@@ -62,29 +67,45 @@ class Encoder:
             for word, start, end in zip(some, [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
                 self.seen[word] = ids[start:end].tobytes()
 
+    def _learn_letters(self, words: set[str]) -> None:
+        # Lower-case letters alone are one word to the tokenizer: only its model has work to do.
+        tokenize = self.tokenizer.model.tokenize
+        for word in words:
+            shown = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            self.seen[word] = array("I", [t.id for t in tokenize(shown)]).tobytes()
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.seen) > REMEMBERED:
             self.seen = {}
         split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
         new = set().union(*split).difference(self.seen)
         made: dict[str, tuple[str, str]] = {}
-        needed = set()
+        letters_only, others = set(), set()
         for word in new:
             if match := _LETTERS_AND_SIGNS.fullmatch(word):
                 letters, signs = match.groups()
-                made[word] = (letters.lower(), signs)
-                needed.update(made[word])
+                letters = letters.lower()
+                made[word] = (letters, signs)
+                letters_only.add(letters)
+                others.add(signs)
             else:
-                needed.add(word)
-        needed.discard("")
+                others.add(word)
+        others.discard("")
         self.seen[""] = b""
-        self._learn(list(needed.difference(self.seen)))
+        self._learn_letters(letters_only.difference(self.seen))
+        self._learn(list(others.difference(self.seen)))
         known = self.seen.__getitem__
         for word, (letters, signs) in made.items():
             self.seen[word] = known(letters) + known(signs)
         return [b"".join(map(known, words)) for words in split]
 
 
+@functools.lru_cache(maxsize=1)
+def _encoder(tokenizer_file: str) -> Encoder:
+    """One per Python worker, so what it remembers serves all tasks that the worker runs."""
+    return Encoder(tokenizer_file)
+
+
 def cut_into_pieces(
     docs: DataFrame,
     tokenizer_file: Callable[[], str],
@@ -97,7 +118,7 @@ def cut_into_pieces(
     end = np.array([end_id], "<u4").tobytes()
 
     def make() -> TextFunction:
-        encoder = Encoder(tokenizer_file())
+        encoder = _encoder(tokenizer_file())
 
         def cut(texts: list[str]) -> tuple[list[int], dict[str, list]]:
             rows = []

@@ -39,7 +39,7 @@ DIMENSIONS = 6
 SHORTEST, LONGEST = 3, 6
 SCALE = 20.0
 PAD = 10
-TRAINING_ROWS = 6_000
+TRAINING_ROWS = 4_000
 TRAINING_WORDS = 1_000
 LEAST_DOCUMENTS = 8
 LEAST_DEVIATIONS = 4.0
@@ -53,12 +53,12 @@ def _plain(token: str) -> str:
     return token.lower().strip(string.punctuation)
 
 
-def _buckets(word: str) -> list[int]:
+def _buckets(word: str) -> np.ndarray:
     marked = f"<{word}>"
     grams = {marked}
     for n in range(SHORTEST, LONGEST + 1):
         grams.update(marked[i : i + n] for i in range(len(marked) - n + 1))
-    return [zlib.crc32(g.encode()) % BUCKETS for g in grams]
+    return np.array([zlib.crc32(g.encode()) % BUCKETS for g in grams], dtype=np.int32)
 
 
 def word_counts(text: str) -> Counter[str]:
@@ -70,6 +70,10 @@ def word_counts(text: str) -> Counter[str]:
     return plain
 
 
+# Distinct words separated by spaces, their counts, and the label.
+Sample = tuple[str, list[int], int]
+
+
 @dataclass
 class Model:
     """``weights[bucket]`` adds to the logit of label 1, times ``SCALE`` over the number of words."""
@@ -78,40 +82,46 @@ class Model:
     bias: float
 
 
-def _bags(samples: list[tuple[list[str], list[int], int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Document, bucket and weight in the document's mean vector, sorted by document."""
-    memo: dict[str, list[int]] = {}
-    keys, values = [], []
-    for i, (words, counts, _) in enumerate(samples):
-        lists = [memo.get(w) or memo.setdefault(w, _buckets(w)) for w in words]
-        flat = np.array([b for x in lists for b in x], dtype=np.int64)
-        n = np.repeat(np.array(counts, dtype=np.float64), [len(x) for x in lists])
-        ids, inverse = np.unique(flat, return_inverse=True)
-        keys.append(i * BUCKETS + ids)
-        values.append(np.bincount(inverse, weights=n) * (SCALE / (sum(counts) + PAD)))
-    key = np.concatenate(keys)
-    return key // BUCKETS, key % BUCKETS, np.concatenate(values)
+def _bag(sample: Sample, memo: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of a document and their weights in its mean vector."""
+    words, counts = sample[0].split(" "), sample[1]
+    lists = []
+    for w in words:
+        if w not in memo:
+            memo[w] = _buckets(w)
+        lists.append(memo[w])
+    n = np.repeat(np.array(counts, dtype=np.float64), [len(x) for x in lists])
+    ids, inverse = np.unique(np.concatenate(lists), return_inverse=True)
+    return ids, np.bincount(inverse, weights=n) * (SCALE / (sum(counts) + PAD))
 
 
-def train(samples: list[tuple[list[str], list[int], int]]) -> Model:
-    """Fit on (words, counts, label) triples."""
+def train(samples: list[Sample]) -> Model:
+    """Fit on samples; only the buckets of one document at a time are held before the choice."""
     labels = np.array([s[2] for s in samples], dtype=np.float64)
     share = float(labels.mean()) if len(labels) else 0.0
     if share in (0.0, 1.0):
         return Model(np.zeros(BUCKETS, np.float32), 50.0 * (2 * share - 1) if len(labels) else -50.0)
-    doc, bucket, part = _bags(samples)
+    memo: dict[str, np.ndarray] = {}
+    found = np.zeros((2, BUCKETS), dtype=np.int64)
+    for sample in samples:
+        found[sample[2], _bag(sample, memo)[0]] += 1
     # Only buckets that tell the labels apart are trained; the others stay zero.
-    toxic = labels[doc] == 1
-    with_1 = np.bincount(bucket[toxic], minlength=BUCKETS)
-    with_0 = np.bincount(bucket[~toxic], minlength=BUCKETS)
+    with_0, with_1 = found
     both = (with_1 + with_0) / len(labels)
     spread = np.sqrt(both * (1 - both) * (1 / labels.sum() + 1 / (1 - labels).sum())) + 1e-9
     gap = np.abs(with_1 / labels.sum() - with_0 / (1 - labels).sum())
     telling = (gap >= LEAST_DEVIATIONS * spread) & (with_1 + with_0 >= LEAST_DOCUMENTS)
-    kept = telling[bucket]
-    if not kept.any():
+    docs, buckets, parts = [], [], []
+    for i, sample in enumerate(samples):
+        ids, weight = _bag(sample, memo)
+        kept = telling[ids]
+        docs.append(np.full(kept.sum(), i))
+        buckets.append(ids[kept])
+        parts.append(weight[kept])
+    doc, bucket = np.concatenate(docs), np.concatenate(buckets)
+    if not len(bucket):
         return Model(np.zeros(BUCKETS, np.float32), math.log(share / (1 - share)))
-    doc, bucket, part = doc[kept], bucket[kept], part[kept].astype(np.float32)[:, None]
+    part = np.concatenate(parts).astype(np.float32)[:, None]
     present, bucket = np.unique(bucket, return_inverse=True)
     by_bucket = np.argsort(bucket, kind="stable")
     bucket_starts = np.flatnonzero(np.diff(bucket[by_bucket], prepend=-1))
@@ -173,13 +183,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
                 words = word_counts(t)
                 kept = sorted(words, key=lambda w: zlib.crc32(w.encode()))[:TRAINING_WORDS]
                 found.append((kept, [words[w] for w in kept]))
-            return None, {"words": [f[0] for f in found], "counts": [f[1] for f in found]}
+            return None, {"words": [" ".join(f[0]) for f in found], "counts": [f[1] for f in found]}
 
         return count
 
     # At most TRAINING_ROWS ids and labels.
     sample = docs.select(key, text).join(F.broadcast(known), key).limit(2 * TRAINING_ROWS)
-    rows = map_texts(sample, make, "words array<string>, counts array<long>", text, [key, "_label"]).collect()
+    rows = map_texts(sample, make, "words string, counts array<long>", text, [key, "_label"]).collect()
     return train([(r["words"], r["counts"], r["_label"]) for r in sorted(rows, key=lambda r: r[key]) if r["words"]])
 
 

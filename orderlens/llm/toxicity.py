@@ -46,19 +46,23 @@ LEAST_DEVIATIONS = 4.0
 STEPS = 120
 RATE = 0.05
 DECAY = 1e-4
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 
 
 def _plain(token: str) -> str:
     return token.lower().strip(string.punctuation)
 
 
-def _buckets(word: str) -> np.ndarray:
+def _grams(word: str) -> set[str]:
     marked = f"<{word}>"
     grams = {marked}
     for n in range(SHORTEST, LONGEST + 1):
-        grams.update(marked[i : i + n] for i in range(len(marked) - n + 1))
-    return np.array([zlib.crc32(g.encode()) % BUCKETS for g in grams], dtype=np.int32)
+        grams.update([marked[i : i + n] for i in range(len(marked) - n + 1)])
+    return grams
+
+
+def _buckets(word: str) -> np.ndarray:
+    return np.array([zlib.crc32(g.encode()) % BUCKETS for g in _grams(word)], dtype=np.int32)
 
 
 def word_counts(text: str) -> Counter[str]:
@@ -193,22 +197,40 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
     return train([(r["words"], r["counts"], r["_label"]) for r in sorted(rows, key=lambda r: r[key]) if r["words"]])
 
 
+_MEMORY: dict[int, tuple[dict, dict, dict]] = {}
+
+
+def _remembered(model: Model) -> tuple[dict, dict, dict]:
+    """Numbers of tokens and words met so far, and the trained buckets; one set per Python worker."""
+    name = zlib.crc32(model.weights.tobytes() + repr(model.bias).encode())
+    if name not in _MEMORY:
+        _MEMORY.clear()
+        used = np.flatnonzero(model.weights)
+        _MEMORY[name] = ({}, {}, dict(zip(used.tolist(), model.weights[used].tolist(), strict=True)))
+    return _MEMORY[name]
+
+
 def score(docs: DataFrame, model: Model, threshold: float = 0.7, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Per row: key, ``held_out``, ``score`` and ``predicted``."""
 
     def make() -> TextFunction:
-        seen: dict[str, tuple[float, int]] = {}
+        seen, values, telling = _remembered(model)
 
         def scores(texts: list[str]) -> tuple[None, dict[str, list]]:
             if len(seen) > REMEMBERED:
                 seen.clear()
+                values.clear()
             result = []
             for t in texts:
                 tokens = t.split()
                 for token in set(tokens).difference(seen):
                     word = _plain(token)
-                    value = float(model.weights[_buckets(word)].sum()) if word else 0.0
-                    seen[token] = (value, 1 if word else 0)
+                    if word not in values:
+                        # fsum() does not depend on the order of the set.
+                        values[word] = math.fsum(
+                            [telling.get(zlib.crc32(g.encode()) % BUCKETS, 0.0) for g in _grams(word)]
+                        )
+                    seen[token] = (values[word], 1) if word else (0.0, 0)
                 pairs = [seen[x] for x in tokens]
                 n = sum(p[1] for p in pairs)
                 logit = model.bias + (SCALE * sum(p[0] for p in pairs) / (n + PAD))

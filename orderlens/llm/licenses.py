@@ -10,7 +10,7 @@ least two of them. Then every mandatory key phrase of the template must stand wo
 ``SLACK`` words of where the template puts it.
 
 The texts are scanned once. Of each document only its licence words with their places are kept, and
-these only if it holds a word of some key phrase; no other document can be accepted. The tables of
+these only if it holds all key-phrase words of some template; no other document can be accepted. The tables of
 words and templates are fixed and small.
 
 Base labels are places where a phrase's words stand one after the other; the method adds to them.
@@ -87,7 +87,6 @@ TEMPLATES = [
 NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 VOCABULARY = sorted({w for _, wording, _ in TEMPLATES for w in wording.split()})
-KEY_WORDS = sorted({w for _, _, keys in TEMPLATES for key in keys for w in key.split()})
 
 
 def licence_words(text: Column) -> Column:
@@ -102,6 +101,12 @@ def _literal(words: list[str]) -> Column:
     return F.array(*[F.lit(w) for w in words])
 
 
+def _possible(found: Column) -> Column:
+    """Whether all key-phrase words of some template are among the words found."""
+    needed = sorted({tuple(sorted({w for key in keys for w in key.split()})) for _, _, keys in TEMPLATES})
+    return reduce(lambda a, b: a | b, [F.size(F.array_except(_literal(list(n)), found)) == 0 for n in needed])
+
+
 def _phrase_starts(words: Column, joined: Column, phrase: str) -> Column:
     parts = phrase.split()
     empty = F.array().cast("array<int>")
@@ -138,7 +143,7 @@ def _scan(docs: DataFrame, text: str, key: str) -> DataFrame:
                 F.size(words).cast("long").alias("n_words"),
                 let(F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" ")), of).alias("base"),
                 found.alias("present"),
-                F.when(F.arrays_overlap(found, _literal(KEY_WORDS)), places).alias("places"),
+                F.when(_possible(found), places).alias("places"),
             )
 
         return let(present, with_places)

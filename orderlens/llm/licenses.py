@@ -6,11 +6,11 @@ document frequencies of these words are counted over all documents. A document l
 proposes a place where the template would begin (its position minus that in the template), and the
 proposals are intersected: a place is accepted if the rare words that agree on it carry at least
 ``LEAST_SUPPORT`` of the weight that the document's rare words have in the template, and there are at
-least two of them. Then every mandatory key phrase of the template must stand word by word within
-``SLACK`` words of where the template puts it.
+least two of them, and if every mandatory key phrase of the template stands word by word within
+``SLACK`` words of where the template puts it. One aggregation by (document, template, start) does this.
 
-The texts are scanned once. Of each document only its licence words with their places are kept, and
-these only if it holds all key-phrase words of some template; no other document can be accepted. The tables of
+The texts are scanned once. Of each document the set of its licence words is kept, and its words only
+if all key phrases of some template stand in it; no other document can be accepted. The tables of
 words and templates are fixed and small.
 
 Base labels are places where a phrase's words stand one after the other; the method adds to them.
@@ -87,13 +87,14 @@ TEMPLATES = [
 NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 VOCABULARY = sorted({w for _, wording, _ in TEMPLATES for w in wording.split()})
+KEY_PHRASES = sorted({key for _, _, keys in TEMPLATES for key in keys})
 
 
 def licence_words(text: Column) -> Column:
     """The words of a text after lower-casing A-Z."""
     # lower() also turns these two letters (Kelvin sign, dotted capital I) into ASCII ones.
     body = F.translate(F.coalesce(text, F.lit("")), "Kİ", "éé")
-    plain = F.when(text.rlike("[Kİ]"), body).otherwise(F.coalesce(text, F.lit("")))
+    plain = F.when(F.contains(text, F.lit("K")) | F.contains(text, F.lit("İ")), body).otherwise(F.coalesce(text, F.lit("")))
     return F.array_remove(F.split(F.lower(plain), NOT_WORD), "")
 
 
@@ -101,10 +102,11 @@ def _literal(words: list[str]) -> Column:
     return F.array(*[F.lit(w) for w in words])
 
 
-def _possible(found: Column) -> Column:
-    """Whether all key-phrase words of some template are among the words found."""
-    needed = sorted({tuple(sorted({w for key in keys for w in key.split()})) for _, _, keys in TEMPLATES})
-    return reduce(lambda a, b: a | b, [F.size(F.array_except(_literal(list(n)), found)) == 0 for n in needed])
+def _possible(joined: Column) -> Column:
+    """Whether all key phrases of some template stand somewhere."""
+    together = sorted({tuple(keys) for _, _, keys in TEMPLATES})
+    has = lambda key: F.contains(joined, F.lit(f" {key} "))
+    return reduce(lambda a, b: a | b, [reduce(lambda a, b: a & b, map(has, keys)) for keys in together])
 
 
 def _phrase_starts(words: Column, joined: Column, phrase: str) -> Column:
@@ -120,33 +122,20 @@ def _phrase_starts(words: Column, joined: Column, phrase: str) -> Column:
 
 
 def _scan(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """One row per document: counts, base places, licence words, and their places where needed."""
+    """One row per document: counts, base places, licence words; words and key places where needed."""
 
     def facts(words: Column) -> Column:
         def of(joined: Column) -> Column:
             starts = [_phrase_starts(words, joined, p).alias(label) for p, label in BASE_PHRASES.items()]
-            return F.struct(*starts)
-
-        present = F.array_intersect(words, _literal(VOCABULARY))
-        places = F.filter(
-            F.transform(
-                words,
-                lambda w, i: F.when(
-                    F.array_contains(_literal(VOCABULARY), w), F.struct(i.alias("at"), w.alias("word"))
-                ),
-            ),
-            lambda x: x.isNotNull(),
-        )
-
-        def with_places(found: Column) -> Column:
+            keys = F.array(*[_phrase_starts(words, joined, k) for k in KEY_PHRASES])
             return F.struct(
                 F.size(words).cast("long").alias("n_words"),
-                let(F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" ")), of).alias("base"),
-                found.alias("present"),
-                F.when(_possible(found), places).alias("places"),
+                F.struct(*starts).alias("base"),
+                F.array_intersect(words, _literal(VOCABULARY)).alias("present"),
+                F.when(_possible(joined), F.struct(words.alias("words"), keys.alias("keys"))).alias("body"),
             )
 
-        return let(present, with_places)
+        return let(F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" ")), of)
 
     scanned = docs.select(
         F.monotonically_increasing_id().alias("row"),
@@ -170,32 +159,31 @@ def _postings(spark: SparkSession) -> DataFrame:
 
 
 def _key_phrases(spark: SparkSession) -> DataFrame:
-    """Template, label and its key phrases, each with its words and place in the template."""
+    """Key phrases by number: template, place in it, and a bit of its own within the template."""
     rows = []
-    for t, (label, wording, keys) in enumerate(TEMPLATES):
+    for t, (_, wording, keys) in enumerate(TEMPLATES):
         words = wording.split()
-        phrases = []
-        for key in keys:
+        for bit, key in enumerate(keys):
             parts = key.split()
             at = next(i for i in range(len(words)) if words[i : i + len(parts)] == parts)
-            phrases.append(F.struct(F.lit(at).alias("k_at"), _literal(parts).alias("parts")))
-        rows.append(
-            F.struct(F.lit(t).alias("template"), F.lit(label).alias("label"), F.array(*phrases).alias("phrases"))
-        )
+            rows.append(
+                F.struct(
+                    F.lit(KEY_PHRASES.index(key)).alias("phrase"),
+                    F.lit(t).alias("template"),
+                    F.lit(at).alias("k_at"),
+                    F.lit(1 << bit).alias("bit"),
+                )
+            )
     return _inline(spark, rows)
 
 
-def _stands(places: Column, start: Column, phrase: Column) -> Column:
-    """Whether the phrase's words stand in a row within ``SLACK`` words of its place."""
-    shifts = F.sequence(F.lit(-SLACK), F.lit(SLACK))
-    word_here = lambda at, word: F.array_contains(places, F.struct(at.alias("at"), word.alias("word")))
-    return F.exists(
-        shifts,
-        lambda s: F.forall(
-            F.transform(phrase["parts"], lambda w, i: word_here(start + phrase["k_at"] + s + i, w)),
-            lambda ok: ok,
-        ),
-    )
+def _labels(spark: SparkSession) -> DataFrame:
+    """Template, its label and the bits of all its key phrases."""
+    rows = [
+        F.struct(F.lit(t).alias("template"), F.lit(label).alias("label"), F.lit((1 << len(keys)) - 1).alias("all_bits"))
+        for t, (label, _, keys) in enumerate(TEMPLATES)
+    ]
+    return _inline(spark, rows)
 
 
 def _accepted(scanned: DataFrame) -> DataFrame:
@@ -218,10 +206,8 @@ def _accepted(scanned: DataFrame) -> DataFrame:
     by_weight = F.array_sort(
         F.transform("present", lambda w: F.struct((-F.col("_map")[w]).alias("w"), w.alias("word")))
     )
-    candidates = scanned.where("places is not null").withColumn("_map", as_map)
-    candidates = candidates.select(
-        "row", "places", F.slice(by_weight, 1, RARE_WORDS)["word"].alias("rare")
-    )
+    candidates = scanned.where("body is not null").withColumn("_map", as_map)
+    candidates = candidates.select("row", "body", F.slice(by_weight, 1, RARE_WORDS)["word"].alias("rare"))
     postings = F.broadcast(_postings(spark).join(F.broadcast(weights), "word"))
     # What a document's rare words weigh in each template.
     possible = (
@@ -230,28 +216,42 @@ def _accepted(scanned: DataFrame) -> DataFrame:
         .groupBy("row", "template")
         .agg(F.sum("weight").alias("possible"))
     )
-    proposed = (
-        candidates.select(
+    # Where rare words, and key phrases give or take the slack, would have each template begin.
+    by_words = (
+        candidates.select("row", "rare", F.posexplode("body.words").alias("at", "word"))
+        .where(F.array_contains("rare", F.col("word")))
+        .join(postings, "word")
+        .select("row", "template", (F.col("at") - F.col("t_at")).alias("start"), "weight", F.lit(0).alias("bit"))
+    )
+    by_keys = (
+        candidates.select("row", F.posexplode("body.keys").alias("phrase", "places"))
+        .select("row", "phrase", F.explode("places").alias("at"))
+        .join(F.broadcast(_key_phrases(spark)), "phrase")
+        .select("row", "template", (F.col("at") - F.col("k_at")).alias("middle"), "bit")
+        .select(
             "row",
-            F.explode(F.filter("places", lambda p: F.array_contains("rare", p["word"]))).alias("p"),
+            "template",
+            F.explode(F.sequence(F.col("middle") - SLACK, F.col("middle") + SLACK)).alias("start"),
+            F.lit(None).cast("double").alias("weight"),
+            "bit",
         )
-        .select("row", F.col("p.word").alias("word"), F.col("p.at").alias("at"))
-        .join(postings, "word")
-        .groupBy("row", "template", (F.col("at") - F.col("t_at")).alias("start"))
-        .agg(F.sum("weight").alias("found"), F.count(F.lit(1)).alias("agreeing"))
-        .where("agreeing > 1")
     )
     supported = (
-        proposed.join(possible, ["row", "template"])
+        by_words.unionByName(by_keys)
+        .groupBy("row", "template", "start")
+        .agg(
+            F.sum("weight").alias("found"),
+            F.count("weight").alias("agreeing"),
+            F.bit_or("bit").alias("bits"),
+        )
+        .where("agreeing > 1")
+        .join(F.broadcast(_labels(spark)), "template")
+        .where("bits = all_bits")
+        .join(possible, ["row", "template"])
         .where(F.col("found") >= LEAST_SUPPORT * F.col("possible"))
-        .join(F.broadcast(_key_phrases(spark)), "template")
         .join(F.broadcast(full), "template")
-        .join(candidates.select("row", "places"), "row")
-    )
-    verified = supported.where(
-        F.forall("phrases", lambda phrase: _stands(F.col("places"), F.col("start"), phrase))
     )
-    return verified.groupBy("row").agg(
+    return supported.groupBy("row").agg(
         F.collect_set("label").alias("found_labels"), F.max(F.col("found") / F.col("full")).alias("share")
     )
 

@@ -36,7 +36,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from orderlens.llm.common import TextFunction, map_texts, stored
 from orderlens.operators.ordering import rows_before
 
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
+LONGEST_REMEMBERED = 100
 # Letters that then end in signs: the tokenizer lower-cases, and cuts between the two. (No
 # apostrophe, which it may join with letters, and only letters whose lower case is one letter.)
 _LETTERS_AND_SIGNS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]*)")
@@ -97,7 +98,12 @@ class Encoder:
         known = self.seen.__getitem__
         for word, (letters, signs) in made.items():
             self.seen[word] = known(letters) + known(signs)
-        return [b"".join(map(known, words)) for words in split]
+        encoded = [b"".join(map(known, words)) for words in split]
+        # What is kept has a bound in bytes, too: very long words are rare and would fill it.
+        for word in new | letters_only | others:
+            if len(word) > LONGEST_REMEMBERED:
+                self.seen.pop(word, None)
+        return encoded
 
 
 @functools.lru_cache(maxsize=1)

@@ -5,6 +5,11 @@ the reference of its language by the Jensen-Shannon distance (base 2, from 0 to
 are counted over all documents: per language the totals of each character class, and the
 ``COMMON_WORDS`` most frequent words with their counts, everything else being one class "other".
 
+A short text is away from its reference by chance alone, in bits by about 1 / (8 ln 2) for each class
+and word. So what is allowed of the word distance is, squared, a share of the distance of a text with
+no common word of its language, and that much more. As this hides the lack of common words in short
+texts, their share in the text is also held against that of the reference.
+
 The texts are scanned twice: once for the word counts (combined inside the map tasks, and of these
 only the leading words of each task are shuffled), once for the figures of each document, which are
 stored as a small table. A document never leaves its task.
@@ -18,6 +23,7 @@ words, so two different windows of one text coincide with a chance of 2^-64 a pa
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,9 +32,9 @@ from pyspark.sql import functions as F
 from orderlens.llm.common import WHITE_SPACE, WORD_GAP, let, stored, words_of
 from orderlens.session import broadcast_if_small
 
-COMMON_WORDS = 16
+COMMON_WORDS = 32
 SYMBOLS = "#*$%&|<>"
-CLASSES = ("upper", "digit", "space", "symbol", "other")
+CLASSES = ("upper", "lower", "digit", "space", "symbol", "rest")
 
 
 @dataclass(frozen=True)
@@ -41,6 +47,14 @@ class Rules:
     max_class_distance: float = 0.28
     min_histogram_words: int = 50
     max_word_distance: float = 0.43
+    # Allowed to a text of any length, as a share of the distance of a text with no common word,
+    # and how often what chance is expected to add.
+    long_word_share: float = 0.6
+    chance_factor: float = 1.25
+    # A text lacks common words below this share of the reference's share of them, where the
+    # reference makes at least so many be expected.
+    least_common_share: float = 0.1
+    min_expected_common: int = 10
     min_reference_words: int = 5_000
 
 
@@ -163,7 +177,7 @@ def _figures(docs: DataFrame, text: str, lang: str, keep: list[str]) -> DataFram
         )
         ranks = F.sequence(F.lit(1), F.lit(COMMON_WORDS))
         each = let(
-            coded,
+            F.replace(coded, F.lit("0"), F.lit("")),
             lambda c: F.transform(
                 ranks,
                 lambda k: (F.length(c) - F.length(F.replace(c, F.char(k + 48), F.lit("")))).cast("double"),
@@ -183,6 +197,7 @@ def _figures(docs: DataFrame, text: str, lang: str, keep: list[str]) -> DataFram
     n = F.length(body)
     symbols = _length_without(body, f"[^{SYMBOLS}]+")
     upper = _length_without(body, "\\P{Lu}+")
+    lower = _length_without(body, "\\P{Ll}+")
     digit = _length_without(body, "[^0-9]+")
     table = docs.select(
         *keep,
@@ -191,6 +206,7 @@ def _figures(docs: DataFrame, text: str, lang: str, keep: list[str]) -> DataFram
         _duplicate_lines(body).cast("long").alias("n_dup_lines"),
         n.cast("long").alias("_n"),
         upper.cast("long").alias("upper"),
+        lower.cast("long").alias("lower"),
         digit.cast("long").alias("digit"),
         of_words.alias("_w"),
     )
@@ -203,10 +219,13 @@ def _figures(docs: DataFrame, text: str, lang: str, keep: list[str]) -> DataFram
         "n_dup_lines",
         F.col("_w.n_repeat_words").alias("n_repeat_words"),
         "upper",
+        "lower",
         "digit",
         (F.col("_n") - F.col("_w.word_chars")).alias("space"),
         F.col("n_symbols").alias("symbol"),
-        (F.col("_w.word_chars") - F.col("upper") - F.col("digit") - F.col("n_symbols")).alias("other"),
+        (
+            F.col("_w.word_chars") - F.col("upper") - F.col("lower") - F.col("digit") - F.col("n_symbols")
+        ).alias("rest"),
         F.col("_w.places").alias("places"),
     )
 
@@ -260,11 +279,22 @@ def judge(
         100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")
     )
     n_chars = F.col("word_chars") + F.col("space")
+    by_chance = rules.chance_factor * COMMON_WORDS / (8 * math.log(2)) / F.col("n_words")
+    added = lambda x: F.aggregate(x, F.lit(0.0), lambda s, v: s + v)
+    common, every = added(theirs), F.col("all_words").cast("double")
+    without = _distance(F.array(F.lit(0.0), F.lit(1.0)), F.array(common, every - common))
+    most_words = F.least(
+        F.lit(rules.max_word_distance), F.sqrt(F.pow(rules.long_word_share * without, F.lit(2)) + by_chance)
+    )
+    expected = F.col("n_words") * common / every
+    lacks_common = (expected >= rules.min_expected_common) & (
+        added(F.col("places")) < rules.least_common_share * expected
+    )
     diverges = (
         (n_chars >= rules.min_class_chars) & (F.col("class_distance") > rules.max_class_distance)
     ) | (
         (F.col("n_words") >= rules.min_histogram_words)
-        & (F.col("word_distance") > rules.max_word_distance)
+        & ((F.col("word_distance") > most_words) | (known & lacks_common))
     )
     return (
         joined.withColumn("class_distance", F.when(known, class_distance))

@@ -169,6 +169,27 @@ def test_quality_counts_and_verdicts(spark):
     assert not kept & {first + 400 + i for i in range(6)}
 
 
+def test_quality_rejects_texts_that_lack_common_words(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    good = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").where("quality = 1").select("doc_id")
+    random.seed(6)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    gibberish = [" ".join("".join(random.choices(letters, k=7)) for _ in range(n)) for n in (60, 150, 600)]
+    dots = [" ".join("".join(random.choices(".,;:!?-", k=5)) for _ in range(n)) for n in (60, 150, 600)]
+    added = [(-1 - i, t, "en") for i, t in enumerate(gibberish + dots)]
+    # Sound texts under the name of a language they are not in.
+    sound = docs.join(good, "doc_id").where("size(split(text, ' ')) > 400")
+    other = {"en": "de", "de": "es", "es": "fr", "fr": "en"}
+    for i, r in enumerate(r for lang in other for r in sound.where(f"lang = '{lang}'").orderBy("doc_id").take(2)):
+        added.append((-100 - i, r["text"], other[r["lang"]]))
+    both = docs.unionByName(spark.createDataFrame(added, docs.schema))
+    rows = quality_rules.judge(both).collect()
+    assert len(added) > 10
+    assert not [r for r in rows if r["doc_id"] < 0 and (r["base_failed"] or r["kept"])]
+    kept = {r["doc_id"] for r in rows if r["kept"] or r["base_failed"]}
+    assert {r["doc_id"] for r in good.collect()} <= kept
+
+
 def test_quality_of_an_empty_table_and_kept_columns(spark):
     assert quality_rules.judge(spark.createDataFrame([], EMPTY)).count() == 0
     docs = documents(spark, ODD, True)

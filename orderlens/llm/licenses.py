@@ -1,12 +1,12 @@
 """Licence notices by a positional rare-token index, in DataFrame functions only.
 
 The index holds, for every word of every licence template, where it stands in the template. The
-document frequencies of these words are counted over all documents. A document looks up its
-``RARE_WORDS`` licence words of highest inverse document frequency; every occurrence of such a word
-proposes a place where the template would begin (its position minus that in the template), and the
-proposals are intersected: a place is accepted if the rare words that agree on it carry at least
-``LEAST_SUPPORT`` of the weight that the document's rare words have in the template, and there are at
-least two of them, and if every mandatory key phrase of the template stands word by word within
+document frequencies of these words are counted over all documents. A document looks up, for each
+template, the ``RARE_WORDS`` of its words that have the highest inverse document frequency among those of
+the template; every occurrence of such a word proposes a place where the template would begin (its
+position minus that in the template), and the proposals are intersected: a place is accepted if the
+rare words that agree on it carry at least ``LEAST_SUPPORT`` of the weight that the document's rare
+words have in the template, and there are at least two of them, and if every mandatory key phrase of the template stands word by word within
 ``SLACK`` words of where the template puts it. One aggregation by (document, template, start) does this.
 
 The texts are scanned once. Of each document the set of its licence words is kept, and its words only
@@ -102,6 +102,11 @@ def _literal(words: list[str]) -> Column:
     return F.array(*[F.lit(w) for w in words])
 
 
+def _rarest(ordered: Column, template: tuple[str, str, list[str]]) -> Column:
+    """The first ``RARE_WORDS`` of a document's ordered licence words that the template has."""
+    return F.slice(F.array_intersect(ordered, _literal(sorted(set(template[1].split())))), 1, RARE_WORDS)
+
+
 def _possible(joined: Column) -> Column:
     """Whether all key phrases of some template stand somewhere."""
     together = sorted({tuple(keys) for _, _, keys in TEMPLATES})
@@ -207,20 +212,26 @@ def _accepted(scanned: DataFrame) -> DataFrame:
         F.transform("present", lambda w: F.struct((-F.col("_map")[w]).alias("w"), w.alias("word")))
     )
     candidates = scanned.where("body is not null").withColumn("_map", as_map)
-    candidates = candidates.select("row", "body", F.slice(by_weight, 1, RARE_WORDS)["word"].alias("rare"))
+    # The rarest words of each template by its number: another notice takes none of its places.
+    candidates = candidates.select(
+        "row", "body", let(by_weight["word"], lambda ordered: F.array(*[_rarest(ordered, t) for t in TEMPLATES])).alias("rare")
+    )
     postings = F.broadcast(_postings(spark).join(F.broadcast(weights), "word"))
+    is_rare = F.array_contains(F.get("rare", F.col("template")), F.col("word"))
     # What a document's rare words weigh in each template.
     possible = (
-        candidates.select("row", F.explode("rare").alias("word"))
+        candidates.select("row", "rare", F.explode(F.array_distinct(F.flatten("rare"))).alias("word"))
         .join(postings, "word")
+        .where(is_rare)
         .groupBy("row", "template")
         .agg(F.sum("weight").alias("possible"))
     )
     # Where rare words, and key phrases give or take the slack, would have each template begin.
     by_words = (
         candidates.select("row", "rare", F.posexplode("body.words").alias("at", "word"))
-        .where(F.array_contains("rare", F.col("word")))
+        .where(F.array_contains(F.flatten("rare"), F.col("word")))
         .join(postings, "word")
+        .where(is_rare)
         .select("row", "template", (F.col("at") - F.col("t_at")).alias("start"), "weight", F.lit(0).alias("bit"))
     )
     by_keys = (

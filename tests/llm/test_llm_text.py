@@ -223,6 +223,20 @@ def test_licences_equal_brute_force(spark):
     assert licenses.scan(spark.createDataFrame([], EMPTY)).count() == 0
 
 
+def test_several_licences_in_one_text(spark):
+    wording = {}
+    for label, words, _ in licenses.TEMPLATES:
+        wording[label] = max(wording.get(label, ""), words, key=len)
+    pairs = [("mit", "apache-2.0"), ("isc", "apache-2.0"), ("mit", "bsd"), ("bsd", "cc-by-4.0"), ("isc", "mpl-2.0")]
+    texts = [f"{wording[a]}. And here: {wording[b]}." for a, b in pairs]
+    texts += [f"{wording['bsd']}; {wording['apache-2.0']}; {wording['cc-by-4.0']}", "\n".join(w for _, w, _ in licenses.TEMPLATES)]
+    rows = by_id(licenses.scan(documents(spark, [*texts, *["plain words of no licence"] * 20])))
+    for i, pair in enumerate(pairs):
+        assert set(pair) <= set(rows[i]["labels"].split(",")), pair
+    assert {"bsd", "apache-2.0", "cc-by-4.0"} <= set(rows[len(pairs)]["labels"].split(","))
+    assert {label for label, _, _ in licenses.TEMPLATES} <= set(rows[len(pairs) + 1]["labels"].split(","))
+
+
 def _base(text):
     digits = lambda s: re.sub("[^0-9]", "", s)
     spans = [("email", m) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]

@@ -306,8 +306,9 @@ def digest(found: DataFrame, key: str = "doc_id") -> DataFrame:
 def mask(docs: DataFrame, text: str = "text", length: str | None = "n_chars") -> DataFrame:
     """The documents, all columns, with every reported span replaced by its kind in brackets.
 
-    Where spans overlap the one that starts first is replaced. ``length`` names the column that
-    holds the number of characters of the text, if there is one.
+    Spans that overlap are replaced as one, by the kind of the longest of them (the first of equally
+    long ones). ``length`` names the column that holds the number of characters of the text, if there
+    is one.
     """
     spans = "_pii_spans"
     found = find_personal_data(docs, text, (*docs.columns,), spans)
@@ -315,20 +316,40 @@ def mask(docs: DataFrame, text: str = "text", length: str | None = "n_chars") ->
         F.transform(spans, lambda s: F.struct(s["start"], s["end"], s["kind"]))
     )
     brackets = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    start = F.struct(F.lit("").alias("done"), F.lit(0).alias("at"))
+    # The text up to the open union of spans, where that ends, its longest span and kind.
+    start = F.struct(
+        F.lit("").alias("done"),
+        F.lit(0).alias("at"),
+        F.lit(0).alias("longest"),
+        F.lit(None).cast("int").alias("kind"),
+    )
+    name_of = lambda state: F.coalesce(F.get(brackets, state["kind"]), F.lit(""))
 
     def step(state: Column, s: Column) -> Column:
+        size = s["end"] - s["start"]
+        longer = size > state["longest"]
+        wider = F.struct(
+            state["done"].alias("done"),
+            F.greatest(state["at"], s["end"]).alias("at"),
+            F.greatest(state["longest"], size).alias("longest"),
+            F.when(longer, s["kind"]).otherwise(state["kind"]).alias("kind"),
+        )
         piece = F.substring(F.col(text), state["at"] + 1, s["start"] - state["at"])
-        taken = F.struct(
-            F.concat(state["done"], piece, F.get(brackets, s["kind"])).alias("done"), s["end"].alias("at")
+        following = F.struct(
+            F.concat(state["done"], name_of(state), piece).alias("done"),
+            s["end"].alias("at"),
+            size.alias("longest"),
+            s["kind"].alias("kind"),
         )
-        return F.when(s["start"] >= state["at"], taken).otherwise(state)
+        return F.when(s["start"] >= state["at"], following).otherwise(wider)
 
     masked = F.aggregate(
         by_place,
         start,
         step,
-        lambda state: F.concat(state["done"], F.substring(F.col(text), state["at"] + 1, F.length(text))),
+        lambda state: F.concat(
+            state["done"], name_of(state), F.substring(F.col(text), state["at"] + 1, F.length(text))
+        ),
     )
     new = F.when(F.size(spans) > 0, masked).otherwise(F.col(text))
     changed = found.withColumn("_pii_new", new)

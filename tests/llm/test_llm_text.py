@@ -283,6 +283,29 @@ def test_masking_replaces_spans_and_nothing_else(spark):
     assert rows[0]["text"] is None and rows[7]["text"] == ODD[7]
 
 
+def test_masking_leaves_nothing_of_overlapping_spans(spark):
+    texts = [
+        "see 1.2.3.4-max@firma.de now",
+        "+4915112345678-max@firma.de",
+        "mail 4111 1111 1111 1111-max@firma.de, 10.0.0.1.",
+        "1.2.3.4-a@firma.de b@c.example.com",
+        "",
+        None,
+    ]
+    docs = documents(spark, texts)
+    masked = by_id(pii.mask(docs))
+    found = by_id(pii.find_personal_data(docs))
+    for i, text in enumerate(texts):
+        # Pieces of the text that no span holds, with one mark for each run that spans hold.
+        covered = {k for s in found[i]["spans"] for k in range(s["start"], s["end"])}
+        outside = "".join("\0" if k in covered else c for k, c in enumerate(text or ""))
+        plain = re.sub(r"\[(EMAIL|IP|CARD|PHONE|ID|SECRET)\]", "\0", masked[i]["text"] or "")
+        assert re.sub("\0+", "\0", plain) == re.sub("\0+", "\0", outside)
+        assert masked[i]["n_chars"] == len(masked[i]["text"] or "")
+    assert masked[0]["text"] == "see [EMAIL] now" and masked[1]["text"] == "[EMAIL]"
+    assert masked[3]["text"] == "[EMAIL] [EMAIL]"
+
+
 def test_reliabilities_prefer_what_most_labelers_say():
     votes = np.array([[1, 1, 1, 1, 1], [0, -1, -1, 0, -1]])
     likely = pii.reliabilities(np.array([2, 2]), votes, np.array([100, 100]))

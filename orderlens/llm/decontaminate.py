@@ -117,21 +117,19 @@ def find_contaminated(
         .where(F.col("found") >= LEAST_COVERAGE * F.col("n"))
         .withColumn("coverage", F.col("found") / F.col("n"))
     )
-    # One best place per document row and item.
-    best = stored(
-        diagonals.groupBy("row", "key", "item_row").agg(
-            F.max(F.struct("coverage", (-F.col("start")).alias("back"))).alias("b")
-        )
-        .select("key", "item_row", F.col("b.coverage").alias("coverage"), (-F.col("b.back")).alias("start"))
-        .distinct()
-    )
-    keys = stored(best.select("key").distinct())
+    # Every place that reaches the coverage; the best is chosen among those whose slots agree.
+    places = stored(diagonals.select("key", "item_row", "coverage", "start").distinct())
+    keys = stored(places.select("key").distinct())
     suspects = stored(
         docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
         .join(broadcast_if_small(keys.withColumnRenamed("key", "of")), F.col("key").eqNullSafe(F.col("of")), "left_semi")
-        .select("key", _stripped(words_of(F.col("text"))).alias("doc_words"))
+        .select(
+            "key",
+            F.monotonically_increasing_id().alias("suspect"),
+            _stripped(words_of(F.col("text"))).alias("doc_words"),
+        )
     )
-    candidates = suspects.join(best.withColumnRenamed("key", "of"), F.col("key").eqNullSafe(F.col("of"))).join(
+    candidates = suspects.join(places.withColumnRenamed("key", "of"), F.col("key").eqNullSafe(F.col("of"))).join(
         broadcast_if_small(items), "item_row"
     )
     theirs = F.transform(
@@ -153,6 +151,8 @@ def find_contaminated(
         F.size(fillers) == F.size(F.array_distinct("slots.other"))
     )
     checked = candidates.select(
+        "suspect",
+        "item_row",
         "key",
         "item",
         "coverage",
@@ -162,12 +162,17 @@ def find_contaminated(
         slots.alias("slots"),
     ).where((F.col("agreeing") >= LEAST_COVERAGE * F.col("size")) & one_to_one)
     changed = F.size(F.filter("slots", lambda x: x["mine"] != x["other"]))
-    return checked.select(
-        F.col("key").alias(key),
-        F.col("item").alias(item),
-        "coverage",
-        "start_word",
-        changed.alias("n_changed"),
+    # One best place per document row and item.
+    leak = F.struct("key", "item", "coverage", "start_word", changed.alias("n_changed"))
+    best = checked.groupBy("suspect", "item_row").agg(
+        F.max_by(leak, F.struct("coverage", -F.col("start_word"))).alias("leak")
+    )
+    return best.select(
+        F.col("leak.key").alias(key),
+        F.col("leak.item").alias(item),
+        "leak.coverage",
+        "leak.start_word",
+        "leak.n_changed",
     )
 
 

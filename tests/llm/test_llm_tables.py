@@ -134,6 +134,20 @@ def test_decontamination_finds_copies_and_other_parameters(spark):
     assert decontaminate.find_contaminated(docs, items.limit(0)).count() == 0
 
 
+def test_decontamination_looks_at_every_place_of_an_item(spark):
+    unequal = ITEM.replace("Paris", "Rome", 1).replace("Anna", "Maria")
+    texts = [f"{unequal} {ITEM}", f"{unequal} and {unequal} then {ITEM} and {unequal}", f"{unequal} {unequal}", f"{ITEM} {unequal}"]
+    items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    docs = documents(spark, [*texts, unequal, ITEM], [0, 1, 2, 3, 4, 4])
+    rows = decontaminate.find_contaminated(docs, items).collect()
+    size = len(ITEM.split())
+    assert sorted((r["doc_id"], r["start_word"], r["n_changed"]) for r in rows) == [
+        (0, size, 0), (1, 2 * size + 2, 0), (3, 0, 0), (4, 0, 0),
+    ]
+    left = decontaminate.remove_contaminated(docs, items)
+    assert sorted((r["doc_id"], r["text"]) for r in left.collect()) == [(2, texts[2]), (4, unequal)]
+
+
 def test_decontamination_equals_substring_search_on_the_given_tables(spark):
     docs = spark.read.parquet(f"{BASE}/documents.parquet").collect()
     items = spark.read.parquet(f"{BASE}/benchmark.parquet").collect()

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import decontaminate, licenses, near_duplicates, packing, pii, quality_rules, sharding, token_counts, toxicity, warc
+from orderlens.llm import (
+    decontaminate,
+    language_spans,
+    licenses,
+    near_duplicates,
+    packing,
+    pii,
+    quality_rules,
+    sharding,
+    token_alignment,
+    token_counts,
+    toxicity,
+    vector_codes,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,6 +93,26 @@ def op10_quality_divergence(spark: SparkSession, base: str) -> DataFrame:
     return quality_rules.judge(_table(spark, base, "documents"))
 
 
+def op11_integer_walsh_codes(spark: SparkSession, base: str) -> DataFrame:
+    coded, books = vector_codes.compress(
+        _table(spark, base, "embeddings"), parts=8, entries=16, rounds=6, scale=4096
+    )
+    return vector_codes.digest(coded, books)
+
+
+def op12_viterbi_languages(spark: SparkSession, base: str) -> DataFrame:
+    return language_spans.predict_languages(_table(spark, base, "documents"))
+
+
+def op13_diagonal_alignment(spark: SparkSession, base: str) -> DataFrame:
+    return token_alignment.align_corpus(
+        _table(spark, base, "documents"),
+        public_tokenizer("byte_bpe_50k.json"),
+        public_tokenizer("piece_bpe_32k.model"),
+        pieces=32_000,
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_best_two_fit": op1_best_two_fit,
     "op2_template_decontamination": op2_template_decontamination,
@@ -90,8 +124,62 @@ QUERIES: dict[str, Query] = {
     "op8_rare_token_licenses": op8_rare_token_licenses,
     "op9_weak_supervision_pii": op9_weak_supervision_pii,
     "op10_quality_divergence": op10_quality_divergence,
+    "op11_integer_walsh_codes": op11_integer_walsh_codes,
+    "op12_viterbi_languages": op12_viterbi_languages,
+    "op13_diagonal_alignment": op13_diagonal_alignment,
 }
 
+
+def _codes_sql(rounds: int) -> str:
+    """The same codebooks by plain distances: a block of tables per round."""
+
+    def assigned(name: str, book: str) -> str:
+        gap = "list_sum([(t[1] - t[2]) * (t[1] - t[2]) FOR t IN list_zip(piece, entry)])"
+        return f"""
+        {name} AS MATERIALIZED (
+            SELECT r, p, arg_min(e, gap * 16 + e) AS e, min(gap) AS gap, any_value(piece) AS piece
+            FROM (SELECT r, p, piece, e, {gap}::BIGINT AS gap FROM pieces JOIN {book} USING (p))
+            GROUP BY r, p
+        )"""
+
+    blocks = []
+    for k in range(rounds):
+        blocks.append(assigned(f"near{k}", f"book{k}"))
+        blocks.append(f"""
+        mean{k} AS (
+            SELECT p, e, list(m ORDER BY place) AS entry FROM (
+                SELECT p, e, place, ((sum(x)::HUGEINT - ((sum(x)::HUGEINT % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS m
+                FROM (SELECT p, e, unnest(piece) AS x, unnest(range(len(piece))) AS place FROM near{k})
+                GROUP BY p, e, place
+            ) GROUP BY p, e
+        ), book{k + 1} AS MATERIALIZED (
+            SELECT p, e, coalesce(mean{k}.entry, book{k}.entry) AS entry FROM book{k} LEFT JOIN mean{k} USING (p, e)
+        )""")
+    return f"""
+        WITH kept AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id, label,
+                   [floor(x::DOUBLE * 4096)::BIGINT FOR x IN embedding] AS whole
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+        ), pieces AS MATERIALIZED (
+            SELECT r, vec_id, p, whole[p * (len(whole) // 8) + 1 : (p + 1) * (len(whole) // 8)] AS piece
+            FROM kept, (SELECT unnest(range(8)) AS p)
+        ), first AS (
+            SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM (SELECT DISTINCT vec_id FROM kept)
+        ), book0 AS MATERIALIZED (
+            SELECT p, e, min(piece) AS entry FROM pieces JOIN first USING (vec_id) WHERE e < 16 GROUP BY p, e
+        ),{",".join([*blocks, assigned("final", f"book{rounds}")])}, coded AS (
+            SELECT r, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code, sum(gap)::BIGINT AS error
+            FROM final GROUP BY r
+        ), books AS (
+            SELECT sha256(string_agg(array_to_string(entry, ','), ',' ORDER BY p, e)) AS hex FROM book{rounds}
+        )
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+               hex AS codebooks_sha256
+        FROM coded JOIN kept USING (r), books
+    """
+
+
 ORACLE: dict[str, str] = {
     "op4_capture_index": """
         WITH payload AS (
@@ -108,4 +196,5 @@ ORACLE: dict[str, str] = {
                CASE WHEN size >= 1000 AND page_id <> latest THEN latest END AS refers_to
         FROM newest
     """,
+    "op11_integer_walsh_codes": _codes_sql(rounds=6),
 }

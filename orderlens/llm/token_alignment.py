@@ -7,9 +7,10 @@ doubling length, until one differs, and halving inside that block. Then the irre
 resolved by advancing whichever list is behind until both end at the same byte; that sets the new
 shift. A group is what lies between two common ends. Two tokens are linked if they share a byte.
 
-Both tokenizers cut a text at every single space between two other characters, so that only the
-distinct stretches between such spaces of some texts at a time need to be encoded and aligned; they
-are laid end to end for that. A stretch whose joined tokens are not its bytes spoils its document.
+Both tokenizers cut a text at every single space between two other characters, so that only distinct
+stretches between such spaces need to be encoded and aligned; those of some texts are laid end to end
+for that. A worker remembers stretches until they exceed ``REMEMBERED_CHARACTERS``, then it starts
+anew. A stretch whose joined tokens are not its bytes spoils its document.
 
 How many documents link a pair of ids is counted by one aggregation over all documents, which store
 their distinct pairs with the number of links. The counts meet the documents in a join: by broadcast
@@ -38,7 +39,8 @@ from orderlens.session import broadcast_if_small, scratch_folder
 
 BROADCAST_PAIRS = 1_000_000
 # Characters of the texts that are encoded and aligned together (at least one text).
-CHARACTERS_AT_ONCE = 4_000_000
+CHARACTERS_AT_ONCE = 2_000_000
+REMEMBERED_CHARACTERS = 5_000_000
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 # How byte-level vocabularies write bytes: printing Latin-1 as it is, the others from code point 256 on.
 _HIDDEN = [*range(33), *range(127, 161), 173]
@@ -53,51 +55,52 @@ def common_ends(a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray]:
     ``a`` and ``b`` are rising end offsets; the last ones must agree.
     """
     i = j = 0
-    ends_a: list[np.ndarray | list[int]] = []
-    ends_b: list[np.ndarray | list[int]] = []
-    odd_a: list[int] = []
-    odd_b: list[int] = []
+    # Stretches of groups that take one token of either: where they start, and how many.
+    from_a, from_b, lengths = [], [], []
     while i < len(a) and j < len(b):
         # One to one: blocks of doubling length agree at this shift of the indexes.
-        run, step, most = 0, 1, min(len(a) - i, len(b) - j)
+        run, step, most = 0, 2, min(len(a) - i, len(b) - j)
         while run < most:
             size = min(step, most - run)
-            if a[i + run : i + run + size] == b[j + run : j + run + size]:
+            x, y = i + run, j + run
+            if a[x : x + size] == b[y : y + size]:
                 run += size
                 step *= 2
                 continue
             # The first difference, by halving.
             while size > 1:
                 half = size // 2
-                if a[i + run : i + run + half] == b[j + run : j + run + half]:
+                x, y = i + run, j + run
+                if a[x : x + half] == b[y : y + half]:
                     run += half
                     size -= half
                 else:
                     size = half
             break
-        if run > 4:
-            ends_a += [odd_a, np.arange(i + 1, i + run + 1)]
-            ends_b += [odd_b, np.arange(j + 1, j + run + 1)]
-            odd_a, odd_b = [], []
-        else:
-            odd_a.extend(range(i + 1, i + run + 1))
-            odd_b.extend(range(j + 1, j + run + 1))
-        i, j = i + run, j + run
-        if i == len(a) or j == len(b):
-            break
+        if run:
+            from_a.append(i)
+            from_b.append(j)
+            lengths.append(run)
+            i, j = i + run, j + run
+            if i == len(a) or j == len(b):
+                break
         # Irregular: whichever is behind moves on, until both end at one byte.
-        while (x := a[i]) != (y := b[j]):
+        x, y = a[i], b[j]
+        while x != y:
             if x < y:
                 i += 1
+                x = a[i]
             else:
                 j += 1
+                y = b[j]
+        # The last tokens of the group end as those of a stretch of one would.
+        from_a.append(i)
+        from_b.append(j)
+        lengths.append(1)
         i, j = i + 1, j + 1
-        odd_a.append(i)
-        odd_b.append(j)
-    ends_a.append(odd_a)
-    ends_b.append(odd_b)
-    join = lambda parts: np.concatenate([np.asarray(p, dtype=np.int64) for p in parts])
-    return join(ends_a), join(ends_b)
+    sizes = np.array(lengths, dtype=np.int64)
+    along = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + 1
+    return np.repeat(np.array(from_a, np.int64), sizes) + along, np.repeat(np.array(from_b, np.int64), sizes) + along
 
 
 def links(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -141,22 +144,53 @@ class Tokenizers:
         return np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
 
 
-@functools.lru_cache(maxsize=1)
-def _tokenizers(byte_level_file: str, piece_file: str) -> Tokenizers:
-    return Tokenizers(byte_level_file, piece_file)
+class SingleGroups(dict):
+    """Text of a group of one token of either, by the number of their pair."""
+
+    def __init__(self, pieces: int) -> None:
+        self.pieces = pieces
+
+    def __missing__(self, pair: int) -> str:
+        a, b = divmod(pair, self.pieces)
+        self[pair] = text = f"{a}|{b}"
+        return text
 
 
 class Stretches:
     """What documents take from each distinct stretch, by its number."""
 
-    def __init__(self) -> None:
+    def __init__(self, tokenizers: Tokenizers) -> None:
+        self.tokenizers = tokenizers
+        self._forget()
+
+    def _forget(self) -> None:
         self.number: dict[str, int] = {}
         self.groups: list[str] = []
-        self._counts: list[np.ndarray] = []
-        self._pairs: list[np.ndarray] = []
-
-    def add(self, stretches: list[str], tokenizers: Tokenizers) -> None:
+        self.single = SingleGroups(len(self.tokenizers.bytes_b))
+        self.characters = 0
+        # Numbers of A, B, groups and links of each stretch, and the pairs of all links in turn.
+        self._counts = [np.zeros((4, 0), dtype=np.int64)]
+        self._pairs = [np.zeros(0, dtype=np.int64)]
+
+    def learn(self, wanted: set[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Make sure that all of ``wanted`` are known; counts and pairs of all that are."""
+        if self.characters > REMEMBERED_CHARACTERS:
+            self._forget()
+        new = wanted.difference(self.number)
+        self.characters += sum(map(len, new))
+        inner = [s for s in new if not (s[0].isspace() or s[-1].isspace())]
+        if inner:
+            self._add(inner)
+        for s in new.difference(self.number):
+            # Only the first or last stretch of a text can be one of these.
+            self._add([s])
+        self._counts = [np.concatenate(self._counts, axis=1)]
+        self._pairs = [np.concatenate(self._pairs)]
+        return self._counts[0], self._pairs[0]
+
+    def _add(self, stretches: list[str]) -> None:
         """Align stretches that, but for a single one, neither begin nor end with white space."""
+        tokenizers = self.tokenizers
         encoded = tokenizers.encode(" ".join(stretches))
         if encoded is None:
             # Find those that do not come back by halves.
@@ -164,8 +198,8 @@ class Stretches:
                 self.number[stretches[0]] = -1
             else:
                 half = len(stretches) // 2
-                self.add(stretches[:half], tokenizers)
-                self.add(stretches[half:], tokenizers)
+                self._add(stretches[:half])
+                self._add(stretches[half:])
             return
         a, b = encoded
         ends_a, ends_b = np.cumsum(tokenizers.lengths_a[a]), np.cumsum(tokenizers.lengths_b[b])
@@ -177,15 +211,13 @@ class Stretches:
         stop_a, stop_b = np.searchsorted(ends_a, stops) + 1, np.searchsorted(ends_b, stops) + 1
         stop_group = np.searchsorted(ends_a[upto_a - 1], stops) + 1
         stop_link = np.searchsorted(link_a, stop_a)
-        text_a, text_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        texts = []
-        i = j = 0
-        for x, y in zip(upto_a.tolist(), upto_b.tolist(), strict=True):
-            if x == i + 1 and y == j + 1:
-                texts.append(text_a[i] + "|" + text_b[j])
-            else:
-                texts.append(",".join(text_a[i:x]) + "|" + ",".join(text_b[j:y]))
-            i, j = x, y
+        # Most groups are one to one, of few different pairs, whose text is remembered.
+        from_a, from_b = np.concatenate(([0], upto_a[:-1])), np.concatenate(([0], upto_b[:-1]))
+        single = a[from_a] * len(tokenizers.bytes_b) + b[from_b]
+        texts = list(map(self.single.__getitem__, single.tolist()))
+        for k in np.flatnonzero((upto_a - from_a != 1) | (upto_b - from_b != 1)).tolist():
+            own_a, own_b = a[from_a[k] : upto_a[k]].tolist(), b[from_b[k] : upto_b[k]].tolist()
+            texts[k] = ",".join(map(str, own_a)) + "|" + ",".join(map(str, own_b))
         first = len(self.groups)
         at = 0
         for to in stop_group.tolist():
@@ -196,31 +228,23 @@ class Stretches:
         self._counts.append(np.diff(ends, axis=1, prepend=0))
         self._pairs.append(pairs)
 
-    def arrays(self) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of A, B, groups and links of each stretch, and the pairs of all links in turn."""
-        if not self._counts:
-            return np.zeros((4, 0), dtype=np.int64), np.zeros(0, dtype=np.int64)
-        return np.concatenate(self._counts, axis=1), np.concatenate(self._pairs)
+
+@functools.lru_cache(maxsize=1)
+def _stretches(byte_level_file: str, piece_file: str) -> Stretches:
+    """One per Python worker, so what it remembers serves all tasks that the worker runs."""
+    return Stretches(Tokenizers(byte_level_file, piece_file))
 
 
 # Counts of A, B, groups and links; the digest; the distinct pairs and how many links each has.
 Row = tuple[int, int, int, int, str, np.ndarray, np.ndarray]
 
 
-def _aligned(texts: list[str], tokenizers: Tokenizers) -> list[Row]:
+def _aligned(texts: list[str], stretches: Stretches) -> list[Row]:
     cut = [_CUT.split(t) if t else [] for t in texts]
-    distinct = set().union(*cut)
-    stretches = Stretches()
-    inner = [s for s in distinct if not (s[0].isspace() or s[-1].isspace())]
-    if inner:
-        stretches.add(inner, tokenizers)
-    for s in distinct.difference(stretches.number):
-        # Only the first or last stretch of a text can be one of these.
-        stretches.add([s], tokenizers)
+    counts, pairs = stretches.learn(set().union(*cut))
     own = [list(map(stretches.number.__getitem__, x)) for x in cut]
     # A stretch without tokens spoils its text.
     own = [[] if -1 in x else x for x in own]
-    counts, pairs = stretches.arrays()
     used = np.array([i for x in own for i in x], dtype=np.int64)
     owner = np.repeat(np.arange(len(own)), [len(x) for x in own])
     n_a, n_b, n_groups, n_links = (
@@ -273,10 +297,10 @@ def align(
     """
 
     def make() -> TextFunction:
-        tokenizers = _tokenizers(byte_level_file(), piece_file())
+        stretches = _stretches(byte_level_file(), piece_file())
 
         def function(texts: list[str]) -> tuple[None, dict[str, list]]:
-            rows = [row for some in _by_characters(texts) for row in _aligned(some, tokenizers)]
+            rows = [row for some in _by_characters(texts) for row in _aligned(some, stretches)]
             return None, dict(zip((*_FIXED, "pairs", "times"), map(list, zip(*rows, strict=True)), strict=True))
 
         return function

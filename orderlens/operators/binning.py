@@ -7,7 +7,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.session import reliable
+from orderlens.operators.selection import fold, up_to_percentile
 
 
 def _width(span: Column, max_bins: int, smallest: Decimal) -> Column:
@@ -26,25 +26,29 @@ def _width(span: Column, max_bins: int, smallest: Decimal) -> Column:
 
 
 def histogram(
-    df: DataFrame, value: str, by: str, max_bins: int = 40, smallest: Decimal = Decimal(1)
+    df: DataFrame,
+    value: str,
+    by: str,
+    max_bins: int = 40,
+    smallest: Decimal = Decimal(1),
+    cap_percent: int | None = None,
 ) -> DataFrame:
     """Row counts in at most about ``max_bins`` round bins ``[bin_start, bin_start + bin_width)``.
 
-    The width is the smallest 1-2-5 step that spans the values in ``max_bins`` steps.
+    The width is the smallest 1-2-5 step that spans the values in ``max_bins`` steps. With
+    ``cap_percent`` only values up to that percentile over all groups count.
     """
-    # Fold to distinct values first: the span and the counts both come from the small frame.
-    folded = reliable(
-        df.where(F.col(value).isNotNull())
-        .groupBy(by, F.col(value).cast("decimal(20,4)").alias("_value"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-    )
+    # Cap, span and counts all come from one fold to distinct values, whose shuffle is reused.
+    folded = fold(df, value, [by])
+    if cap_percent is not None:
+        folded = up_to_percentile(folded, cap_percent)
     span = F.max("_value") - F.min("_value")
     widest = folded.agg(_width(span, max_bins, smallest).cast("decimal(20,4)").alias("width")).scalar()
     start = F.floor(F.col("_value") / F.col("bin_width")) * F.col("bin_width")
     return (
         folded.withColumn("bin_width", widest)
         .groupBy(by, start.cast("decimal(20,4)").alias("bin_start"), "bin_width")
-        .agg(F.sum("_rows").alias("customers"))
+        .agg(F.sum("_n").alias("customers"))
     )
 
 

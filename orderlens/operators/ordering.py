@@ -1,6 +1,7 @@
 """Exact global ranks and quantiles without a single-task window.
 
-Everything here rests on one idea. A globally sorted frame is a list of slices (its range
+Quantiles and percent-rank cuts are order statistics and come from ``selection``. Ranks of rows rest on
+another idea. A globally sorted frame is a list of slices (its range
 partitions) that are sorted among each other. Once the sorted frame is checkpointed the slices are
 fixed, so the number of rows in front of a row is the size of the earlier slices - one number per
 slice, a frame as long as the partition count - plus its position inside its own slice.
@@ -18,7 +19,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.session import broadcast_if_small, reliable
+from orderlens.operators.selection import (
+    Place,
+    fold,
+    folded_quantiles,
+    order_statistics,
+)
+from orderlens.session import reliable
 
 # monotonically_increasing_id() keeps the position inside the partition in its lower 33 bits.
 _POSITION_BITS = (1 << 33) - 1
@@ -79,21 +86,16 @@ def percent_rank_cuts(df: DataFrame, value: str, shares: dict[str, float]) -> Co
     """Cut values by percent rank, as one scalar struct with a field per entry of ``shares``.
 
     ``percent_rank() > share`` over all rows of ``df`` holds exactly where ``value > cut``, so the
-    rows themselves need no rank and no sort.
+    rows themselves need no rank and no sort. A percent rank is the number of smaller values over
+    n - 1, so the cut is the value at place ``floor(share * (n - 1))``; nulls come first.
     """
-    folded = df.groupBy(value).agg(F.count(F.lit(1)).alias("_weight"))
-    total = F.col("_total")
-    rank = F.when(total > 1, F.col("rows_before") / (total - 1)).otherwise(F.lit(0.0))
-    ranked = (
-        rows_before(folded, [F.col(value)], "_weight")
-        .withColumn("_total", df.agg(F.count(F.lit(1))).scalar())
-        .withColumn("_rank", rank)
-    )
-    cuts = [
-        F.max(F.when(F.col("_rank") <= share, F.col(value))).alias(n)
-        for n, share in shares.items()
-    ]
-    return ranked.agg(F.struct(*cuts).alias("cuts")).scalar()
+
+    def place_of(share: float) -> Place:
+        exact = F.lit(Decimal(str(share)))
+        return lambda n: F.floor(F.greatest(n - 1, F.lit(0)) * exact)
+
+    found = order_statistics(fold(df, value, nulls=True), {name: place_of(share) for name, share in shares.items()})
+    return found.agg(F.max(F.struct(*shares)).alias("cuts")).scalar()
 
 
 def ntiles(df: DataFrame, key: str, columns: Sequence[str], tiles: int) -> DataFrame:
@@ -154,47 +156,7 @@ def quantiles(
     ``max``. Null values are left out. The groups themselves should be few: they are flags or
     segments; a group may hold any number of rows.
     """
-    groups = list(by) or ["_all"]
-    source = df if by else df.withColumn("_all", F.lit(1))
-    source = source.where(F.col(value).isNotNull()).select(
-        *groups, F.col(value).cast("decimal(20,4)").alias("_value")
-    )
-    folded = source.groupBy(*groups, "_value").agg(F.count(F.lit(1)).alias("_weight"))
-    ordered = rows_before(folded, [*groups, "_value"], "_weight", "_before")
-    sizes = broadcast_if_small(
-        ordered.groupBy(*[F.col(g).alias(f"_of_{g}") for g in groups]).agg(
-            F.sum("_weight").alias("_n"), F.min("_before").alias("_first")
-        )
-    )
-    same_group = reduce(
-        lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_of_{g}")) for g in groups]
-    )
-    placed = ordered.join(sizes, same_group).withColumn(
-        "_at", F.col("_before") - F.col("_first")
-    )
-    picks = [F.max("_n").alias("_n")]
-    if extremes:
-        picks += [F.min("_value").alias("_min"), F.max("_value").alias("_max")]
-    for name, percent in percents.items():
-        place = (F.col("_n") - 1) * percent
-        low = (place - place % 100) / 100
-        high = F.when(place % 100 > 0, low + 1).otherwise(low)
-        picks += [
-            F.max(F.when(F.col("_at") <= low, F.col("_value"))).alias(f"_low_{name}"),
-            F.max(F.when(F.col("_at") <= high, F.col("_value"))).alias(f"_high_{name}"),
-        ]
-    found = placed.groupBy(*groups).agg(*picks)
-    result = [F.col(b) for b in by]
-    if extremes:
-        result += [F.col("_n").alias("n"), F.col("_min").alias("min")]
-    for name, percent in percents.items():
-        low, high = F.col(f"_low_{name}"), F.col(f"_high_{name}")
-        part = (((F.col("_n") - 1) * percent) % 100).cast("decimal(3,0)")
-        step = (high - low) * part * F.lit(Decimal("0.01"))
-        result.append((low + step).cast("decimal(24,6)").alias(name))
-    if extremes:
-        result.append(F.col("_max").alias("max"))
-    return found.select(*result)
+    return folded_quantiles(fold(df, value, by), percents, by, extremes)
 
 
 def quantile(df: DataFrame, value: str, percent: int) -> Column:
@@ -206,9 +168,14 @@ def median(df: DataFrame, value: str) -> Column:
     return quantile(df, value, 50)
 
 
-def box_stats(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
-    """Five-number summary per group with fences at 1.5 interquartile ranges."""
-    box = quantiles(df, value, {"q1": 25, "median": 50, "q3": 75}, by, extremes=True)
+def box_stats(df: DataFrame, value: str, by: Sequence[str], cap_percent: int | None = None) -> DataFrame:
+    """Five-number summary per group with fences at 1.5 interquartile ranges.
+
+    With ``cap_percent`` only values up to that percentile over all groups count. Cap and quartiles
+    are read from the same counts.
+    """
+    percents = {"q1": 25, "median": 50, "q3": 75}
+    box = folded_quantiles(fold(df, value, by), percents, by, True, cap_percent)
     reach = (F.col("q3") - F.col("q1")) * F.lit(Decimal("1.5"))
     return box.withColumns(
         {

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from orderlens.functions.numbers import mean, money, share_of
 from orderlens.functions.text import mask_id
 from orderlens.operators.binning import histogram, labelled_rows, right_closed_bin
-from orderlens.operators.ordering import box_stats, median, quantile
+from orderlens.operators.ordering import box_stats, median
 from orderlens.operators.tables import top
 
 # Bins of the spend change in percent, open on the left.
@@ -46,10 +46,9 @@ def serve_hist_inactivity(churn: DataFrame, bins: int = 40) -> DataFrame:
 
 def serve_hist_gap(churn: DataFrame, bins: int = 40) -> DataFrame:
     """Average order gaps up to their 95th percentile."""
-    usual = churn.where(
-        F.col("avg_order_gap_days") <= quantile(churn, "avg_order_gap_days", 95)
+    return histogram(
+        churn, "avg_order_gap_days", "churn_risk_flag", bins, Decimal("0.1"), cap_percent=95
     )
-    return histogram(usual, "avg_order_gap_days", "churn_risk_flag", bins, Decimal("0.1"))
 
 
 def serve_spend_buckets(churn: DataFrame, with_out_of_range: bool = True) -> DataFrame:
@@ -80,8 +79,7 @@ def serve_revenue_at_stake(churn: DataFrame) -> DataFrame:
 
 
 def serve_churn_spend_box(churn: DataFrame) -> DataFrame:
-    usual = churn.where(F.col("total_spend") <= quantile(churn, "total_spend", 95))
-    return box_stats(usual, "total_spend", ["churn_risk_flag"])
+    return box_stats(churn, "total_spend", ["churn_risk_flag"], cap_percent=95)
 
 
 def serve_at_risk_top50(churn: DataFrame) -> DataFrame:

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.functions.numbers import mean
+from orderlens.functions.numbers import mean, safe_ratio
 from orderlens.functions.text import loyalty_label, mask_id
-from orderlens.operators.ordering import median
+from orderlens.operators.selection import fold, folded_quantiles
 from orderlens.operators.tables import latest_row, top
-from orderlens.session import reliable
 
 
 def latest_snapshots(clv: DataFrame) -> DataFrame:
@@ -57,15 +56,27 @@ def serve_clv_filter(
 def serve_clv_kpis(
     clv: DataFrame, tier: str | None = None, loyalty: bool | None = None
 ) -> DataFrame:
-    latest = reliable(filtered_latest(clv, tier, loyalty))
-    best = top(latest, "total_revenue_to_date", "user_id", 10, ["total_revenue_to_date"])
-    return latest.agg(
-        F.count_distinct("user_id").alias("customers"),
-        mean("total_revenue_to_date").alias("avg_clv"),
+    """All four figures come from one fold of the newest totals, one row per customer before it."""
+    values = fold(filtered_latest(clv, tier, loyalty), "total_revenue_to_date", nulls=True)
+    known = F.when(F.col("_value").isNotNull(), F.col("_n"))
+    # The ten largest values hold the ten best customers; of the last only as many as still count.
+    in_front = Window.orderBy(F.desc("_value")).rowsBetween(Window.unboundedPreceding, -1)
+    best = (
+        values.where(F.col("_value").isNotNull())
+        .orderBy(F.desc("_value"))
+        .limit(10)
+        .withColumn("_left", 10 - F.coalesce(F.sum("_n").over(in_front), F.lit(0)))
+        .where("_left > 0")
+        .agg(F.sum(F.col("_value") * F.least("_n", "_left")).cast("decimal(30,2)"))
+    )
+    medians = folded_quantiles(values.where(F.col("_value").isNotNull()), {"q": 50})
+    return values.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("customers"),
+        safe_ratio(F.sum(F.col("_value") * F.col("_n")), F.sum(known)).alias("avg_clv"),
     ).withColumns(
         {
-            "median_clv": median(latest, "total_revenue_to_date"),
-            "top10_revenue": best.agg(F.sum("total_revenue_to_date")).scalar(),
+            "median_clv": medians.agg(F.max("q")).scalar(),
+            "top10_revenue": best.scalar(),
         }
     )
 

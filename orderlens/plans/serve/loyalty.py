@@ -6,9 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.functions.numbers import percent, zero_if_null
-from orderlens.operators.ordering import box_stats, quantile
+from orderlens.operators.ordering import box_stats
 from orderlens.plans.serve.clv import latest_snapshots
-from orderlens.session import reliable
 
 # Column of the Gold table -> name of the figure.
 METRICS = {
@@ -96,9 +95,6 @@ def serve_loyalty_index(loyalty: DataFrame) -> DataFrame:
 
 
 def serve_loyalty_clv_box(clv: DataFrame) -> DataFrame:
-    latest = reliable(latest_snapshots(clv))
-    usual = latest.where(
-        (F.col("total_revenue_to_date") <= quantile(latest, "total_revenue_to_date", 95))
-        & F.col("is_loyalty").isNotNull()
-    )
-    return box_stats(usual, "total_revenue_to_date", ["is_loyalty"])
+    """The cap is taken over all customers, also those without a flag, who have no box."""
+    boxes = box_stats(latest_snapshots(clv), "total_revenue_to_date", ["is_loyalty"], cap_percent=95)
+    return boxes.where(F.col("is_loyalty").isNotNull())

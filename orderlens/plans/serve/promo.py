@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.functions.dates import month_start
-from orderlens.functions.numbers import mean, money, percent, share_of
+from orderlens.functions.numbers import mean, money, percent, safe_ratio, share_of
 from orderlens.functions.text import bool_label, location_label, loyalty_label, mask_id
-from orderlens.operators.ordering import box_stats, quantile
+from orderlens.operators.ordering import box_stats
+from orderlens.operators.selection import fold, up_to_percentile
 from orderlens.operators.tables import top
 
 
@@ -69,26 +70,24 @@ def serve_promo_rate_monthly(discounts: DataFrame) -> DataFrame:
     )
 
 
-def _usual_baskets(discounts: DataFrame) -> DataFrame:
-    cap = quantile(discounts, "gross_revenue", 95)
+def _baskets(discounts: DataFrame) -> DataFrame:
     label = bool_label(F.col("is_promotional_order"), "Promotional", "Full Price")
-    return discounts.where(F.col("gross_revenue") <= cap).select(
-        label.alias("basket"), "gross_revenue"
-    )
+    return discounts.select(label.alias("basket"), "gross_revenue")
 
 
 def serve_basket_compare(discounts: DataFrame) -> DataFrame:
     """Mean basket per kind, outliers above the 95th percentile left out."""
+    usual = up_to_percentile(fold(_baskets(discounts), "gross_revenue", ["basket"]), 95)
+    total = F.sum(F.col("_value") * F.col("_n"))
     return (
-        _usual_baskets(discounts)
-        .groupBy("basket")
-        .agg(mean("gross_revenue").alias("avg_basket"))
+        usual.groupBy("basket")
+        .agg(safe_ratio(total, F.sum("_n")).alias("avg_basket"))
         .orderBy("basket")
     )
 
 
 def serve_basket_box(discounts: DataFrame) -> DataFrame:
-    return box_stats(_usual_baskets(discounts), "gross_revenue", ["basket"])
+    return box_stats(_baskets(discounts), "gross_revenue", ["basket"], cap_percent=95)
 
 
 def serve_promo_by_location(discounts: DataFrame, n: int = 15) -> DataFrame:

@@ -112,3 +112,48 @@ def test_box_stats(many_slices):
     assert (got["a"]["q1"], got["a"]["median"], got["a"]["q3"]) == (2, 3, 4)
     assert (got["a"]["lower_fence"], got["a"]["upper_fence"], got["a"]["max"]) == (-1, 7, 100)
     assert got["b"]["n"] == 1 and got["b"]["q1"] == statistics.median([5])
+
+
+@pytest.mark.parametrize("n", [1, 3, 40, 301])
+def test_boxes_of_what_a_percentile_leaves(many_slices, n):
+    """Cap over all groups, then quartiles by group, against a filter and the boxes of what is left."""
+    df = frame(many_slices, n, n + 7, values=60)
+    values = sorted(r["v"] for r in df.collect() if r["v"] is not None)
+    if not values:
+        return
+    at = (len(values) - 1) * 0.8
+    cap = values[int(at)] + (values[min(int(at) + 1, len(values) - 1)] - values[int(at)]) * (at - int(at))
+    want = ordering.box_stats(df.where(F.col("v") <= cap), "v", ["grp"])
+    got = ordering.box_stats(df, "v", ["grp"], cap_percent=80)
+    assert rows(got) == rows(want)
+
+
+def test_order_statistics_of_any_size_and_sign(spark):
+    from decimal import Decimal
+
+    from orderlens.operators import selection
+
+    texts = ["-9e15", "-12345.6789", "-12345.6788", "-1", "-0.0001", "0", "0.0001", "0.5", "99999", "99999.5", "1e5", "9e15"]
+    values = [Decimal(x) for x in texts]
+    df = spark.createDataFrame([(v,) for v in values], "v decimal(20,4)")
+    places = {f"p{i}": (lambda n, i=i: F.lit(i)) for i in range(len(values))} | {"none": lambda n: n}
+    found = selection.order_statistics(selection.fold(df, "v"), places).first()
+    assert [found[f"p{i}"] for i in range(len(values))] == values
+    assert found["none"] is None and found["_n"] == len(values)
+
+
+def test_order_statistics_refuse_what_cannot_be_broadcast(spark, monkeypatch):
+    from orderlens.operators import selection
+
+    monkeypatch.setattr(selection, "MOST_BUCKETS", 5)
+    df = spark.range(10).selectExpr("id AS g", "id AS v")
+    with pytest.raises(Exception, match="too many groups"):
+        ordering.quantiles(df, "v", {"q": 50}, ["g"]).collect()
+
+
+def test_percentiles_sort_no_rows(spark):
+    df = spark.range(100).selectExpr("id % 3 AS g", "id AS v")
+    for found in (ordering.box_stats(df, "v", ["g"], cap_percent=95), ordering.quantiles(df, "v", {"q": 50})):
+        found.collect()
+        text = found._jdf.queryExecution().executedPlan().toString()
+        assert "rangepartitioning" not in text and "Scan ExistingRDD" not in text

@@ -66,6 +66,26 @@ def keys_only_left(left: DataFrame, right: DataFrame, columns: Sequence[str]) ->
     return left.select(*columns).subtract(right.select(*columns))
 
 
+def distinct_counts(df: DataFrame, by: str, columns: dict[str, str]) -> DataFrame:
+    """Per value of ``by``: how many different non-null values each column has.
+
+    ``columns`` maps results to columns. Every column is folded on its own, to (key, value) in the map
+    tasks and then to a count, so that rows are not multiplied, a scan reads two columns, and a key that
+    holds much of the data is spread over its values. What is joined is one row per key.
+    """
+    counts = df.select(by).distinct()
+    for name, column in columns.items():
+        mine = (
+            df.where(F.col(column).isNotNull())
+            .select(F.col(by).alias("_key"), column)
+            .distinct()
+            .groupBy("_key")
+            .agg(F.count(F.lit(1)).alias(name))
+        )
+        counts = counts.join(mine, F.col(by).eqNullSafe(F.col("_key")), "left").drop("_key")
+    return counts.withColumns({name: F.coalesce(name, F.lit(0)) for name in columns})
+
+
 def with_share(df: DataFrame, value: str, name: str, share: Column) -> DataFrame:
     """Add ``share`` to a small aggregate; it may use the column ``grand_total`` of ``value``."""
     total = df.agg(F.sum(value)).scalar()

@@ -1,8 +1,8 @@
 """Gold tables about customers.
 
 All builders take Silver rows. They only sum revenue, take maxima and count distinct orders, so they
-give the same result on :func:`order_facts`, which is several times shorter: the pipeline computes
-it once and hands it to every builder.
+give the same result on :func:`order_facts`, which is several times shorter: the pipeline stores it by
+month and every builder reads the columns and months it needs.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.config import Config
-from orderlens.functions.dates import reference_day
+from orderlens.functions.dates import reference_day, year_and_month
 from orderlens.functions.numbers import mean, money, percent, safe_ratio
 from orderlens.operators.ordering import ntiles, percent_rank_cuts
 from orderlens.schemas import GOLD
@@ -20,10 +20,11 @@ from orderlens.session import reliable
 
 def order_facts(silver: DataFrame) -> DataFrame:
     """Silver folded to order grain: revenue and bulk flag per order, customer, place and day."""
-    return silver.groupBy("order_id", "user_id", "restaurant_id", "order_date", "is_loyalty").agg(
+    facts = silver.groupBy("order_id", "user_id", "restaurant_id", "order_date", "is_loyalty").agg(
         F.sum("gross_revenue").alias("gross_revenue"),
         F.max("is_bulk_order_candidate").alias("is_bulk_order_candidate"),
     )
+    return facts.withColumns(year_and_month(F.col("order_date")))
 
 
 def daily_customers(orders: DataFrame) -> DataFrame:

@@ -2,39 +2,62 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.config import Config
-from orderlens.functions.numbers import mean, money, safe_ratio
+from orderlens.functions.numbers import money, safe_ratio
 from orderlens.operators.ordering import dense_ranks
+from orderlens.operators.tables import distinct_counts
 from orderlens.schemas import GOLD
 from orderlens.session import reliable
 
 
 def sales_trends(silver: DataFrame, cfg: Config) -> DataFrame:
-    """Revenue, orders and customers per day, location and category."""
+    """Revenue, orders and customers per day, location and category.
+
+    Lines move once, by day, location and category; every fold after that finds its rows together:
+    lines to (order, customer), orders counted with the first of their customers, then customers.
+    """
     keys = GOLD["sales_trends"][:10]
-    return silver.groupBy(*keys).agg(
-        money(F.sum("gross_revenue")).alias("total_revenue"),
-        F.count_distinct("order_id").alias("order_count"),
-        F.count_distinct("user_id").alias("unique_customers"),
-        mean("gross_revenue").alias("avg_item_revenue"),
+    together = silver.select(*keys, "order_id", "user_id", "gross_revenue").repartition(
+        "order_date", "restaurant_id", "item_category"
+    )
+    revenue = F.col("gross_revenue")
+    visits = together.groupBy(*keys, "order_id", "user_id").agg(
+        F.sum(revenue).alias("_revenue"), F.count(revenue).alias("_lines")
+    )
+    turn = F.row_number().over(Window.partitionBy(*keys, "order_id").orderBy("user_id"))
+    first = F.when(F.col("order_id").isNotNull() & (F.col("_turn") == 1), 1).otherwise(0)
+    customers = (
+        visits.withColumn("_turn", turn)
+        .groupBy(*keys, "user_id")
+        .agg(F.sum("_revenue").alias("_revenue"), F.sum("_lines").alias("_lines"), F.sum(first).alias("_orders"))
+    )
+    return customers.groupBy(*keys).agg(
+        money(F.sum("_revenue")).alias("total_revenue"),
+        F.sum("_orders").alias("order_count"),
+        F.count("user_id").alias("unique_customers"),
+        safe_ratio(F.sum("_revenue"), F.sum("_lines")).alias("avg_item_revenue"),
     )
 
 
 def location_totals(orders: DataFrame) -> DataFrame:
-    """Totals per location, from Silver rows or order facts.
-
-    The three distinct counts expand the input; on order facts that is a fraction of the lines.
-    """
-    return orders.groupBy("restaurant_id").agg(
-        money(F.sum("gross_revenue")).alias("total_revenue"),
-        F.count_distinct("order_id").alias("total_orders"),
-        F.count_distinct("user_id").alias("unique_customers"),
-        safe_ratio(F.sum("gross_revenue"), F.count_distinct("order_date")).alias(
-            "avg_daily_revenue"
-        ),
+    """Totals per location, from Silver rows or order facts."""
+    revenue = orders.groupBy(F.col("restaurant_id").alias("_location")).agg(
+        F.sum("gross_revenue").alias("_revenue")
+    )
+    seen = distinct_counts(
+        orders,
+        "restaurant_id",
+        {"total_orders": "order_id", "unique_customers": "user_id", "_days": "order_date"},
+    )
+    return seen.join(revenue, F.col("restaurant_id").eqNullSafe(F.col("_location"))).select(
+        "restaurant_id",
+        money(F.col("_revenue")).alias("total_revenue"),
+        "total_orders",
+        "unique_customers",
+        safe_ratio(F.col("_revenue"), F.col("_days")).alias("avg_daily_revenue"),
     )
 
 

@@ -123,6 +123,17 @@ def write_silver(silver: DataFrame, base: str, incremental: bool = False) -> dic
     return seen.get
 
 
+def store_by_month(df: DataFrame, folder: str) -> DataFrame:
+    """Write ``df``, which has ``year`` and ``month``, in folders by month and read it back.
+
+    Later readers open only the columns and months they need, also where the first month wanted is
+    known no sooner than at run time.
+    """
+    balanced = df.hint("rebalance", "year", "month")
+    balanced.write.mode("overwrite").partitionBy("year", "month").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def write_gold(df: DataFrame, base: str, table: str) -> int:
     counted, seen = count_rows(df, table)
     counted.write.mode("overwrite").parquet(f"{base}/{table}")

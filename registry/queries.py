@@ -74,8 +74,8 @@ class Frames:
 
     @cached_property
     def orders(self) -> DataFrame:
-        """Order facts, computed once for all tables that only need order grain."""
-        return reliable(customers.order_facts(self.silver))
+        """Order facts, stored once for all tables that only need order grain."""
+        return files.store_by_month(customers.order_facts(self.silver), scratch_folder(self.spark))
 
     @cached_property
     def clv(self) -> DataFrame:

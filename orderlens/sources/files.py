@@ -8,10 +8,10 @@ from datetime import UTC, date, datetime
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from orderlens.operators.tables import conform, lower_columns
 from orderlens.schemas import SOURCES
+from orderlens.sources import versions
 
 DAY_COLUMN = "ingestion_date"
 
@@ -34,29 +34,41 @@ def read_typed_csv(
 def latest_partition(spark: SparkSession, root: str) -> str:
     """The newest complete ``ingestion_date=`` day under ``root``; no data is read.
 
-    Only ISO dates count, and only folders whose write left its success marker.
+    Only ISO dates count, and only days of which a write has ended well.
     """
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = [s.getPath().getName() for s in files.listStatus(path)] if files.exists(path) else []
-    days = [n.split("=", 1)[1] for n in names if re.fullmatch(rf"{DAY_COLUMN}=\d{{4}}-\d{{2}}-\d{{2}}", n)]
+    days = [
+        n.split("=", 1)[1]
+        for n in versions.names_in(spark, root)
+        if re.fullmatch(rf"{DAY_COLUMN}=\d{{4}}-\d{{2}}-\d{{2}}", n)
+    ]
     for day in sorted(days, reverse=True):
-        if files.exists(jvm.org.apache.hadoop.fs.Path(f"{root}/{DAY_COLUMN}={day}/_SUCCESS")):
+        if versions.current(spark, f"{root}/{DAY_COLUMN}={day}") is not None:
             return day
     raise ValueError(f"no complete {DAY_COLUMN} partition under {root}")
 
 
+def latest_bronze_folder(spark: SparkSession, base: str, table: str) -> str:
+    """Where the content of the newest day lies; a later write does not change what is in there."""
+    root = f"{base}/{table}"
+    return versions.current(spark, f"{root}/{DAY_COLUMN}={latest_partition(spark, root)}")
+
+
+def read_bronze_day(spark: SparkSession, base: str, table: str, day: date | str) -> DataFrame:
+    """One day of a Bronze table, with its day as a column."""
+    folder = versions.current(spark, f"{base}/{table}/{DAY_COLUMN}={day}")
+    if folder is None:
+        raise ValueError(f"{table} has no complete day {day}")
+    return spark.read.parquet(folder).withColumn(DAY_COLUMN, F.lit(str(day)).cast("date"))
+
+
 def drop_partition_column(df: DataFrame) -> DataFrame:
     return df.drop(DAY_COLUMN)
 
 
 def read_latest_bronze(spark: SparkSession, base: str, table: str) -> DataFrame:
     """The newest day of a Bronze table; older days may have other schemas and are not opened."""
-    root = f"{base}/{table}"
-    day = latest_partition(spark, root)
-    newest = spark.read.option("basePath", root).parquet(f"{root}/{DAY_COLUMN}={day}")
-    return drop_partition_column(newest)
+    day = latest_partition(spark, f"{base}/{table}")
+    return drop_partition_column(read_bronze_day(spark, base, table, day))
 
 
 def read_silver(spark: SparkSession, base: str) -> DataFrame:
@@ -67,12 +79,12 @@ def read_gold(
     spark: SparkSession, base: str, table: str, schema: T.StructType | None = None
 ) -> DataFrame:
     """A Gold table; with a schema, an absent table reads as an empty one."""
-    try:
-        df = spark.read.parquet(f"{base}/{table}")
-    except AnalysisException as error:
-        if schema is None or error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    folder = versions.current(spark, f"{base}/{table}")
+    if folder is None:
+        if schema is None:
+            raise ValueError(f"no Gold table {table} under {base}")
         return spark.createDataFrame([], schema)
+    df = spark.read.parquet(folder)
     days = ("snapshot_date", "order_date", "first_order_date", "last_order_date")
     return df.withColumns({c: F.to_date(c) for c in days if c in df.columns})
 
@@ -88,10 +100,12 @@ def count_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def write_bronze(df: DataFrame, base: str, table: str, day: date | None = None) -> int:
-    """Replace one ingestion day and leave the others; an empty table replaces its day as well."""
+    """Replace one ingestion day and leave the others; an empty table replaces its day as well.
+
+    Readers see the day's former content until the write has ended.
+    """
     counted, seen = count_rows(df, table)
-    folder = f"{base}/{table}/{DAY_COLUMN}={ingestion_day(day)}"
-    counted.write.mode("overwrite").parquet(folder)
+    versions.replace(counted, f"{base}/{table}/{DAY_COLUMN}={ingestion_day(day)}")
     return seen.get["rows"]
 
 
@@ -135,6 +149,12 @@ def store_by_month(df: DataFrame, folder: str) -> DataFrame:
 
 
 def write_gold(df: DataFrame, base: str, table: str) -> int:
+    """Replace a Gold table; readers see its former content until the write has ended."""
     counted, seen = count_rows(df, table)
-    counted.write.mode("overwrite").parquet(f"{base}/{table}")
+    versions.replace(counted, f"{base}/{table}")
     return seen.get["rows"]
+
+
+def remove_silver_month(spark: SparkSession, base: str, year: int | None, month: int | None) -> None:
+    names = ["__HIVE_DEFAULT_PARTITION__" if x is None else str(x) for x in (year, month)]
+    versions.remove(spark, f"{base}/orders_enriched/year={names[0]}/month={names[1]}")

@@ -1,13 +1,16 @@
+from dataclasses import replace
 from datetime import date
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from orderlens.config import Config
 from orderlens.plans import pipeline
-from orderlens.schemas import GOLD, ORDER_ITEM_OPTIONS, ORDER_ITEMS
-from orderlens.sources import files, jdbc
+from orderlens.operators.tables import conform
+from orderlens.schemas import GOLD, ORDER_ITEM_OPTIONS, ORDER_ITEMS, SOURCES
+from orderlens.sources import files, jdbc, versions
 
 from conftest import rows
 
@@ -45,7 +48,7 @@ def test_bronze_days_are_replaced_one_by_one_and_the_newest_is_read(spark, tmp_p
     assert rows(files.read_latest_bronze(spark, base, "t")) == [(0,), (1,)]
     assert files.write_bronze(spark.range(0), base, "t", date(2024, 1, 10)) == 0
     assert files.read_latest_bronze(spark, base, "t").count() == 0
-    first_day = spark.read.parquet(f"{base}/t/ingestion_date=2024-01-09")
+    first_day = files.read_bronze_day(spark, base, "t", date(2024, 1, 9))
     assert first_day.count() == 3
     with pytest.raises(ValueError, match="no complete ingestion_date partition"):
         files.read_latest_bronze(spark, base, "absent")
@@ -170,6 +173,88 @@ def test_schema_has_the_loader_columns():
     assert len(ORDER_ITEMS) == 13 and len(ORDER_ITEM_OPTIONS) == 6
 
 
+def bronze_day(spark, base, day, items, options, holidays):
+    item = "app_name string, creation_time_utc string, order_id string, lineitem_id string, item_price decimal(18,4), item_quantity int"
+    option = "order_id string, lineitem_id string, option_name string, option_price decimal(18,4), option_quantity int"
+    calendar = "date_key string, is_holiday boolean, holiday_name string"
+    tables = {
+        "order_items": spark.createDataFrame([("Store", t, o, "l", Decimal(p), 1) for o, t, p in items], item),
+        "order_item_options": spark.createDataFrame([(o, "l", n, Decimal(p), 1) for o, n, p in options], option),
+        "date_dim": spark.createDataFrame([(d, True, n) for d, n in holidays], calendar),
+    }
+    for name, df in tables.items():
+        files.write_bronze(conform(df, SOURCES[name]), base, name, day)
+
+
+def part_files(base):
+    return {str(p.relative_to(base)) for p in Path(base).rglob("part-*.parquet")}
+
+
+def test_only_touched_months_are_made_again_and_equal_a_full_rebuild(spark, tmp_path):
+    bronze, silver, whole = (str(tmp_path / n) for n in ("bronze", "silver", "whole"))
+    cfg = Config(test_app_name="T", calendar_start=date(2023, 1, 1), calendar_end=date(2023, 12, 31))
+    items = [(f"o{m}", f"2023-{m:02d}-05T10:00:00Z", m) for m in range(1, 9)] + [("bad", "no time", 3)]
+    options = [("o2", "a", 1), ("o2", "a", 1), ("o3", "b", 2)]
+    bronze_day(spark, bronze, date(2024, 1, 1), items, options, [("05-08-2023", "Day")])
+    first = pipeline.build_silver(spark, bronze, silver, cfg, incremental=True)
+    assert first["rows"] == 9 and "months" not in first
+    before = part_files(silver)
+
+    # Of the next day: o1 moves to September, o4 goes, o5 costs more, o3 gets a late option, o2 loses a
+    # copy of an option, the unreadable one goes, November is new, and the name of a holiday changes.
+    items = [("o1", "2023-09-01T00:00:00Z", 1), ("o5", "2023-05-05T10:00:00Z", 50), ("o11", "2023-11-30T23:00:00Z", 7)]
+    items += [(f"o{m}", f"2023-{m:02d}-05T10:00:00Z", m) for m in (2, 3, 6, 7, 8)]
+    options = [("o3", "late", 4), ("o3", "b", 2), ("o2", "a", 1)]
+    bronze_day(spark, bronze, date(2024, 1, 2), items, options, [("05-08-2023", "Feast")])
+    done = pipeline.build_silver(spark, bronze, silver, cfg, incremental=True)
+    assert done["months"] == 9  # all but June and July, with September, November and the null month
+    pipeline.build_silver(spark, bronze, whole, cfg)
+    assert rows(files.read_silver(spark, silver)) == rows(files.read_silver(spark, whole))
+    assert files.read_silver(spark, silver).where("holiday_name = 'Feast'").count() == 1
+    kept = before & part_files(silver)
+    assert {p.split("month=")[1].split("/")[0] for p in kept if "month=" in p} == {"6", "7"}
+
+    # Nothing new: nothing is made. Other parameters: everything is.
+    now = part_files(f"{silver}/orders_enriched")
+    assert pipeline.build_silver(spark, bronze, silver, cfg, incremental=True)["months"] == 0
+    assert part_files(f"{silver}/orders_enriched") == now
+    other = replace(cfg, bulk_quantity=1)
+    assert pipeline.build_silver(spark, bronze, silver, other, incremental=True)["bulk_rows"] == 8
+
+
+def test_a_reader_sees_the_old_content_until_a_write_ends(spark, tmp_path):
+    base, day = str(tmp_path), date(2024, 1, 1)
+    files.write_bronze(spark.range(3), base, "t", day)
+    begun = files.read_latest_bronze(spark, base, "t")
+
+    def look_and_fail(batches):
+        raise RuntimeError("the source broke off")
+        yield from batches
+
+    broken = spark.range(9).mapInArrow(look_and_fail, "id long")
+    with pytest.raises(Exception, match="broke off"):
+        files.write_bronze(broken, base, "t", day)
+    # The failed write has left a version that does not count.
+    assert files.read_latest_bronze(spark, base, "t").count() == 3
+    files.write_bronze(spark.range(5), base, "t", day)
+    assert begun.count() == 3 and files.read_latest_bronze(spark, base, "t").count() == 5
+    for n in (6, 7):
+        files.write_bronze(spark.range(n), base, "t", day)
+    assert files.read_latest_bronze(spark, base, "t").count() == 7
+    counted = [p for p in (tmp_path / "t" / "ingestion_date=2024-01-01").iterdir() if (p / "_SUCCESS").exists()]
+    assert len(counted) == versions.KEPT
+    assert files.read_bronze_day(spark, base, "t", day).columns == ["id", "ingestion_date"]
+    with pytest.raises(ValueError, match="no complete day"):
+        files.read_bronze_day(spark, base, "t", date(2024, 1, 2))
+
+
+def test_tables_written_without_versions_are_still_read(spark, tmp_path):
+    spark.range(4).write.parquet(f"{tmp_path}/t")
+    assert files.read_gold(spark, str(tmp_path), "t").count() == 4
+    files.write_gold(spark.range(2), str(tmp_path), "t")
+    assert files.read_gold(spark, str(tmp_path), "t").count() == 2
+
+
 def test_incomplete_and_oddly_named_days_are_passed_over(spark, tmp_path):
     df = spark.createDataFrame([(1,)], "n int")
     files.write_bronze(df, str(tmp_path), "t", date(2024, 1, 1))

@@ -74,12 +74,50 @@ def row_numbers(df: DataFrame, order: Sequence[str | Column], name: str = "row_n
 
 
 def dense_ranks(df: DataFrame, value: str, descending: bool = True, name: str = "rank") -> DataFrame:
-    """Global ``dense_rank()`` by one column, nulls last."""
+    """Global ``dense_rank()`` by one column, nulls last.
+
+    Rows are sorted by the value and a hash of the whole row, which spreads a value that many rows
+    share over several slices. A slice carries on from the number of different values before it, one
+    less where it begins with the value that the slice before it ended with.
+    """
     key = F.col(value)
     order = key.desc_nulls_last() if descending else key.asc_nulls_last()
-    ranked = row_numbers(df.select(value).distinct(), [order], name)
-    ranked = ranked.select(F.col(value).alias("_value"), F.col(name).cast("int"))
-    return df.join(ranked, df[value].eqNullSafe(ranked["_value"])).drop("_value")
+    inside = F.dense_rank().over(Window.partitionBy("_slice").orderBy(order))
+    slices = (
+        reliable(df.orderBy(order, F.xxhash64(*df.columns)))
+        .withColumn("_slice", F.spark_partition_id())
+        .withColumn("_inside", inside)
+    )
+    ends = slices.groupBy("_slice").agg(
+        F.max("_inside").alias("_different"),
+        F.min(F.struct("_inside", value)).getField(value).alias("_first"),
+        F.max(F.struct("_inside", value)).getField(value).alias("_last"),
+    )
+    in_turn = Window.orderBy("_slice")
+    goes_on = F.col("_first").eqNullSafe(F.lag("_last").over(in_turn)) & (F.row_number().over(in_turn) > 1)
+    earlier = F.sum("_different").over(in_turn) - F.col("_different")
+    starts = ends.withColumn("_goes_on", goes_on).select(
+        "_slice", (earlier - F.sum(F.col("_goes_on").cast("int")).over(in_turn)).alias("_start")
+    )
+    # `starts` has one row per partition of `slices`.
+    return slices.join(F.broadcast(starts), "_slice").select(
+        *df.columns, (F.col("_start") + F.col("_inside")).cast("int").alias(name)
+    )
+
+
+def percent_ranks(df: DataFrame, value: str, name: str = "percent_rank") -> DataFrame:
+    """Each different value with the global ``percent_rank()`` of its rows, nulls first.
+
+    That is the number of rows before it over all other rows; 0 if there is only one row. Rows are
+    folded to (value, count) before anything is sorted, so a common value is one row.
+    """
+    folded = df.groupBy(value).agg(F.count(F.lit(1)).alias("_weight"))
+    ranked = rows_before(folded, [F.col(value).asc_nulls_first()], "_weight")
+    others = ranked.agg(F.sum("_weight") - 1).scalar()
+    return ranked.withColumn("_others", others).select(
+        value,
+        F.when(F.col("_others") > 0, F.col("rows_before") / F.col("_others")).otherwise(F.lit(0.0)).alias(name),
+    )
 
 
 def percent_rank_cuts(df: DataFrame, value: str, shares: dict[str, float]) -> Column:

@@ -7,10 +7,8 @@ from pyspark.sql import functions as F
 
 from orderlens.config import Config
 from orderlens.functions.numbers import money, safe_ratio
-from orderlens.operators.ordering import dense_ranks
 from orderlens.operators.tables import distinct_counts
 from orderlens.schemas import GOLD
-from orderlens.session import reliable
 
 
 def sales_trends(silver: DataFrame, cfg: Config) -> DataFrame:
@@ -62,11 +60,17 @@ def location_totals(orders: DataFrame) -> DataFrame:
 
 
 def location_performance(orders: DataFrame, cfg: Config) -> DataFrame:
-    """Locations ranked by revenue, with a tier for the best and the last ranks."""
-    locations = reliable(location_totals(orders))
-    count = locations.agg(F.count(F.lit(1))).scalar()
-    ranked = dense_ranks(locations, "total_revenue", name="revenue_rank")
-    rank = F.col("revenue_rank")
+    """Locations ranked by revenue, with a tier for the best and the last ranks.
+
+    One row per location is few: a plain window ranks them.
+    """
+    rank, count = F.col("revenue_rank"), F.col("_count")
+    ranked = location_totals(orders).withColumns(
+        {
+            "revenue_rank": F.dense_rank().over(Window.orderBy(F.col("total_revenue").desc_nulls_last())),
+            "_count": F.count(F.lit(1)).over(Window.partitionBy()),
+        }
+    )
     return ranked.withColumns(
         {
             "avg_order_value": safe_ratio(F.col("total_revenue"), F.col("total_orders")),

@@ -101,7 +101,7 @@ SELECT DISTINCT strftime(d, '%d-%m-%Y') AS date_key, strftime(d, '%A') AS day_of
        CAST(year(d) AS INTEGER) AS year, dayofweek(d) IN (0, 6) AS is_weekend,
        day(d) = 1 AS is_holiday,
        CASE WHEN day(d) = 1 THEN 'Holiday ' || month(d) END AS holiday_name
-FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders) WHERE year(d) = 1997"""
+FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders) WHERE dayofyear(d) % 29 <> 0"""
 
 TABLES["cleaned"] = r"""
 SELECT * EXCLUDE (creation_time_utc, item_category),
@@ -448,6 +448,19 @@ SELECT order_id, lineitem_id, option_group_name, option_name,
     "src_csv_typed": "SELECT * REPLACE (CAST(item_price AS DOUBLE) AS item_price) FROM items",
     "src_parquet_latest": """
 SELECT * REPLACE (CAST(option_price AS DOUBLE) AS option_price) FROM options""",
+    "sink_bronze": """
+SELECT DATE '2024-01-09' AS ingestion_date, option_group_name, count(*) AS row_count
+FROM options WHERE option_group_name = 'Size' GROUP BY option_group_name
+UNION ALL SELECT DATE '2024-01-10', option_group_name, count(*)
+FROM options GROUP BY option_group_name""",
+    "ingestion_stamp": f"SELECT {KEY}, DATE '2024-01-09' AS ingestion_date FROM items",
+    "drop_partition_col": """
+SELECT * REPLACE (CAST(option_price AS DOUBLE) AS option_price) FROM options""",
+    "src_mode_dispatch": f"""
+SELECT {KEY}, user_id, {dbl('item_price')}, item_quantity, is_loyalty FROM items""",
+    "src_gold": f"SELECT {RFM_COLUMNS} FROM rfm",
+    "sink_silver_incremental": f"""
+SELECT {KEY}, year, month, order_date, option_row_count, {dbl('gross_revenue')} FROM silver""",
     "sink_silver": f"""
 SELECT {KEY}, year, month, order_date, {dbl('gross_revenue')} FROM silver""",
     "observe_counts": f"""
@@ -739,6 +752,13 @@ SELECT count(*) AS customers, count(*) FILTER (WHERE churn_risk_flag) AS at_risk
        count(*) FILTER (WHERE NOT churn_risk_flag) AS safe_customers,
        {avg('days_since_last_order', 2, 'churn_risk_flag')} AS avg_days_inactive_at_risk,
        {quant('avg_order_gap_days', 0.5)} AS median_order_gap_days FROM churn""",
+    "serve_churn_kpis_rethreshold": f"""
+SELECT count(*) AS customers, count(*) FILTER (WHERE idle) AS at_risk_customers,
+       {pct('count(*) FILTER (WHERE idle)', 'count(*)', 1)} AS at_risk_pct,
+       count(*) FILTER (WHERE NOT idle) AS safe_customers,
+       {avg('days_since_last_order', 2, 'idle')} AS avg_days_inactive_at_risk,
+       {quant('avg_order_gap_days', 0.5)} AS median_order_gap_days
+FROM (SELECT *, days_since_last_order > 90 AS idle FROM churn WHERE total_orders >= 3)""",
     "serve_hist_inactivity": rounded_histogram("churn", "days_since_last_order", "1"),
     "serve_hist_gap": rounded_histogram(
         "(SELECT * FROM churn WHERE avg_order_gap_days <= "

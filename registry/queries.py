@@ -183,6 +183,78 @@ def _(f):
     return files.read_latest_bronze(f.spark, folder, "options")
 
 
+def _two_days(f: Frames) -> str:
+    """Options of two days, the second of them replaced: first without sizes, then whole."""
+    folder = scratch_folder(f.spark)
+    sizes = F.col("option_group_name") == "Size"
+    files.write_bronze(f.options.where(sizes), folder, "options", date(2024, 1, 9))
+    files.write_bronze(f.options.where(~sizes), folder, "options", date(2024, 1, 10))
+    files.write_bronze(f.options, folder, "options", date(2024, 1, 10))
+    return folder
+
+
+@_register("sink_bronze")
+def _(f):
+    """Rows of both days by group, after the second was replaced."""
+    folder = _two_days(f)
+    days = [files.read_bronze_day(f.spark, folder, "options", date(2024, 1, d)) for d in (9, 10)]
+    both = days[0].unionByName(days[1])
+    return both.groupBy("ingestion_date", "option_group_name").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@_register("ingestion_stamp")
+def _(f):
+    folder = scratch_folder(f.spark)
+    files.write_bronze(f.items, folder, "items", date(2024, 1, 9))
+    day = files.latest_partition(f.spark, f"{folder}/items")
+    return files.read_bronze_day(f.spark, folder, "items", day).select(*_KEY, "ingestion_date")
+
+
+@_register("drop_partition_col")
+def _(f):
+    return files.drop_partition_column(
+        files.read_bronze_day(f.spark, _two_days(f), "options", date(2024, 1, 10))
+    )
+
+
+@_register("src_mode_dispatch")
+def _(f):
+    """The items, read through the switch between kinds of sources."""
+    return pipeline.read_source(f.spark, "csv", "order_items", csv_base=_csv_folder(f)).select(
+        *_KEY, "user_id", "item_price", "item_quantity", "is_loyalty"
+    )
+
+
+@_register("src_gold")
+def _(f):
+    """A Gold table written twice, read with an absent one beside it, which reads as empty."""
+    folder = scratch_folder(f.spark)
+    files.write_gold(f.rfm.where("r_score = 1"), folder, "customer_rfm_segments")
+    files.write_gold(f.rfm, folder, "customer_rfm_segments")
+    there = files.read_gold(f.spark, folder, "customer_rfm_segments")
+    return there.unionByName(files.read_gold(f.spark, folder, "absent", there.schema))
+
+
+@_register("sink_silver_incremental")
+def _(f):
+    """Two Bronze days: of February 1998 the first lacks the orders, of the others some options."""
+    folder = scratch_folder(f.spark)
+    items = retail.with_iso_text(f.items)
+    late = (F.col("option_group_name") == "Size") & (F.col("order_id").cast("bigint") % 97 == 5)
+    first = {
+        "order_items": items.where(~F.col("creation_time_utc").startswith("1998-02")),
+        "order_item_options": f.options.where(~late),
+        "date_dim": f.date_dim,
+    }
+    second = {"order_items": items, "order_item_options": f.options, "date_dim": f.date_dim}
+    for day, sources in ((date(2024, 1, 9), first), (date(2024, 1, 10), second)):
+        for table, df in sources.items():
+            files.write_bronze(df, f"{folder}/bronze", table, day)
+        pipeline.build_silver(f.spark, f"{folder}/bronze", f"{folder}/silver", CFG, incremental=True)
+    stored = files.read_silver(f.spark, f"{folder}/silver")
+    return stored.select(*_KEY, "year", "month", "order_date", "option_row_count", "gross_revenue")
+
+
 @_register("sink_silver")
 def _(f):
     folder = scratch_folder(f.spark)
@@ -564,17 +636,10 @@ def _(f):
 
 @_register("win_percent_rank")
 def _(f):
-    """Cut values of the tiers, as percent_rank() over all snapshots gives them."""
+    """Final totals of all snapshots, with the percent rank that decides their tier."""
     totals = customers.running_customer_totals(customers.daily_customers(f.silver))
-    weights = (
-        totals.groupBy("user_id")
-        .agg(F.max("total_revenue_to_date").alias("value"), F.count(F.lit(1)).alias("weight"))
-    )
-    ranked = ordering.rows_before(
-        weights.groupBy("value").agg(F.sum("weight").alias("weight")), ["value"], "weight"
-    )
-    total = ranked.agg(F.sum("weight")).scalar()
-    return ranked.select("value", (F.col("rows_before") / (total - 1)).alias("percent_rank"))
+    final = F.max("total_revenue_to_date").over(Window.partitionBy("user_id"))
+    return ordering.percent_ranks(totals.select(final.alias("value")), "value")
 
 
 @_register("win_ntile")
@@ -694,6 +759,9 @@ _BUILDERS |= {
     "serve_rfm_action_guide": lambda f: rfm_page.serve_rfm_action_guide(f.rfm),
     "serve_churn_rethreshold": lambda f: churn_page.serve_churn_rethreshold(f.churn, 90, 3, True),
     "serve_churn_kpis": lambda f: churn_page.serve_churn_kpis(f.churn_table),
+    "serve_churn_kpis_rethreshold": lambda f: churn_page.serve_churn_kpis(
+        churn_page.serve_churn_rethreshold(f.churn_table, 90, 3)
+    ),
     "serve_hist_inactivity": lambda f: churn_page.serve_hist_inactivity(f.churn),
     "serve_hist_gap": lambda f: churn_page.serve_hist_gap(f.churn_table),
     "serve_spend_buckets": lambda f: churn_page.serve_spend_buckets(f.churn),

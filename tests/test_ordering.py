@@ -157,3 +157,20 @@ def test_percentiles_sort_no_rows(spark):
         found.collect()
         text = found._jdf.queryExecution().executedPlan().toString()
         assert "rangepartitioning" not in text and "Scan ExistingRDD" not in text
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_dense_ranks_carry_on_over_slices(many_slices, descending):
+    """Few values, so that each spans several slices; nulls, and no join back to the rows."""
+    df = many_slices.range(400).selectExpr("id", "CASE WHEN id % 7 = 0 THEN NULL ELSE id % 3 END AS v")
+    got = ordering.dense_ranks(df, "v", descending)
+    order = F.col("v").desc_nulls_last() if descending else F.col("v").asc_nulls_last()
+    assert rows(got) == rows(df.withColumn("rank", F.dense_rank().over(Window.orderBy(order)).cast("int")))
+    assert got._jdf.queryExecution().executedPlan().toString().count("Join") == 1
+
+
+@pytest.mark.parametrize("values", [[], [5], [None], [3, 3], [1, 2, 2, None, 9]])
+def test_percent_ranks(many_slices, values):
+    df = many_slices.createDataFrame([(v,) for v in values], "v int")
+    want = df.withColumn("percent_rank", F.percent_rank().over(Window.orderBy(F.col("v").asc_nulls_first())))
+    assert rows(ordering.percent_ranks(df, "v")) == rows(want.distinct())

@@ -19,6 +19,11 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def explained(df):
+    utils = df.sparkSession.sparkContext._jvm.PythonSQLUtils
+    return utils.explainString(df._jdf.queryExecution(), "formatted")
+
+
 @pytest.fixture(scope="module")
 def frames(spark):
     return Frames(spark, BASE)
@@ -88,3 +93,24 @@ def test_spine_is_not_built_on_the_driver(spark):
     calendar = spark.createDataFrame([], "date_key string, is_holiday boolean, holiday_name string")
     spine = silver.date_spine(calendar, date(2020, 1, 1), date(2020, 12, 31))
     assert spine.count() == 366
+
+
+def test_distinct_counts_do_not_expand_rows(spark, frames):
+    for df in (frames.trends, sales.location_totals(frames.orders), frames.locations):
+        assert "Expand" not in plan(df)
+    # Lines move once, and all folds that follow find their rows together.
+    moves = [plan(df).count("Exchange hashpartitioning") for df in (frames.silver, frames.trends)]
+    assert moves[1] == moves[0] + 1
+
+
+def test_gold_reads_stored_order_facts_by_column_and_month(spark, frames, tmp_path):
+    facts = files.store_by_month(customers.order_facts(frames.silver), str(tmp_path))
+    recent = customers.customer_recency(facts, Config())
+    text = explained(recent)
+    # The first month wanted is only known at run time.
+    scan = text.split("PartitionFilters: [")[1].split("ReadSchema")[0]
+    assert "make_date(year" in scan and "Subquery" in scan
+    read = text.split("ReadSchema: struct<")[1].split(">")[0]
+    assert "restaurant_id" not in read and "is_bulk_order_candidate" not in read
+    read = explained(customers.loyalty_comparison(facts, Config())).split("ReadSchema: struct<")[1]
+    assert "restaurant_id" not in read.split(">")[0]

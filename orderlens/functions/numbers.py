@@ -39,6 +39,28 @@ def mean(column: str | Column, places: int = 2) -> Column:
     return safe_ratio(F.sum(c), F.count(c), places)
 
 
+def deviation(column: str) -> Column:
+    """Sample deviation rounded half-up to four places, exactly (an aggregate; null below two values).
+
+    Count, sum and sum of squares are whole numbers of 1/10,000 and its square, so that it does not
+    matter how the rows were split. With D = n * squares - sum^2, the rounded root is the largest s for
+    which (2s - 1)^2 * n * (n - 1) <= 4D; a floating-point root only says where to look.
+    """
+    units = _units(F.col(column)).cast("decimal(22,0)")
+    n = F.count(column).cast("decimal(18,0)")
+    total, squares = F.sum(units).cast(_WHOLE), F.sum((units * units).cast(_WHOLE)).cast(_WHOLE)
+    spread = ((n * squares).cast(_WHOLE) - (total * total).cast(_WHOLE)).cast(_WHOLE)
+    pairs = (n * (n - 1)).cast(_WHOLE)
+    near = F.round(F.sqrt(spread.cast("double") / F.when(pairs > 0, pairs.cast("double")))).cast("decimal(18,0)")
+
+    def reached(s: Column) -> Column:
+        double = (s * 2 - 1).cast("decimal(19,0)")
+        return (s <= 0) | (((double * double).cast(_WHOLE) * pairs).cast(_WHOLE) <= (spread * 4).cast(_WHOLE))
+
+    rounded = F.when(reached(near + 1), near + 1).when(reached(near), near).otherwise(near - 1)
+    return (rounded / UNIT).cast("decimal(18,4)")
+
+
 def share_of(condition: Column, places: int = 2) -> Column:
     """Percentage of rows for which ``condition`` holds (an aggregate)."""
     return percent(F.count_if(condition), F.count(F.lit(1)), places)

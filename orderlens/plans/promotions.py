@@ -7,21 +7,19 @@ from pyspark.sql import functions as F
 
 from orderlens.config import Config
 from orderlens.functions.dates import year_and_month
-from orderlens.functions.numbers import mean, money, share_of, zero_if_null
+from orderlens.functions.numbers import deviation, mean, money, share_of, zero_if_null
 from orderlens.schemas import GOLD
 from orderlens.session import broadcast_if_small, reliable
 
 
 def category_price_stats(silver: DataFrame) -> DataFrame:
     """Average and deviation of the positive prices of each category, to four places."""
-    price = F.col("item_price")
-    spread = F.round(F.stddev_samp(price.cast("double")), 4).cast("decimal(18,4)")
     return (
-        silver.where(price > 0)
+        silver.where(F.col("item_price") > 0)
         .groupBy("item_category")
         .agg(
             mean("item_price", 4).alias("category_avg_price"),
-            zero_if_null(spread).alias("category_stddev_price"),
+            zero_if_null(deviation("item_price")).alias("category_stddev_price"),
             F.count("item_price").alias("priced_item_count"),
         )
     )

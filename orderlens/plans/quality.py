@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.functions.dates import parse_date_key, parse_iso_timestamp
 from orderlens.functions.numbers import mean, percent
 from orderlens.operators.ordering import quantiles
-from orderlens.operators.tables import value_counts
 from orderlens.session import reliable
 
 KEY_COLUMNS = [
@@ -19,6 +19,27 @@ KEY_COLUMNS = [
 ]
 
 
+def per_table(tables: dict[str, DataFrame], report: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The same report of several tables, with a column that names the table; one scan of each."""
+    parts = [report(df).withColumn("table_name", F.lit(name)) for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def value_fold(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``column_name``, ``value`` (as text) and ``row_count`` of every value of each column.
+
+    One scan of those columns; the map tasks fold before anything is shuffled.
+    """
+    pairs = [
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns
+    ]
+    return (
+        df.select(F.inline(F.array(*pairs)))
+        .groupBy("column_name", "value")
+        .agg(F.count(F.lit(1)).alias("row_count"))
+    )
+
+
 def dq_shape_schema(df: DataFrame) -> DataFrame:
     """One row per column: position, name, type, and the size of the table."""
     columns = [
@@ -67,13 +88,7 @@ def dq_key_duplicates(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 def dq_cardinality(df: DataFrame, columns: Sequence[str] = KEY_COLUMNS) -> DataFrame:
     """Distinct non-null values per column."""
-    pairs = [
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
-        for c in columns
-        if c in df.columns
-    ]
-    # One long frame of (column, value) is folded in the map tasks before it is shuffled.
-    values = df.select(F.inline(F.array(*pairs))).distinct()
+    values = value_fold(df, [c for c in columns if c in df.columns])
     return values.groupBy("column_name").agg(F.count("value").alias("distinct_values"))
 
 
@@ -196,17 +211,20 @@ def dq_flag_distribution(df: DataFrame, column: str = "is_loyalty") -> DataFrame
 def dq_top_values(
     df: DataFrame, columns: Sequence[str] = ("item_category", "app_name", "restaurant_id"), n: int = 10
 ) -> DataFrame:
-    """The most frequent values of each column; every column is a scan of that column only."""
-    parts = [
-        value_counts(df, c, n).select(
-            F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"), "row_count"
-        )
-        for c in columns
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    """The most frequent values of each column, from one scan; equal counts in order of the text.
+
+    Each task passes on only its own first ``n`` of a column, so columns of many values do no harm.
+    """
+    place = F.row_number().over(
+        Window.partitionBy("column_name").orderBy(F.desc("row_count"), F.col("value"))
+    )
+    return (
+        value_fold(df, columns)
+        .where(F.col("value").isNotNull())
+        .withColumn("_place", place)
+        .where(F.col("_place") <= n)
+        .drop("_place")
+    )
 
 
 def dq_summary(items: DataFrame, options: DataFrame, date_dim: DataFrame) -> DataFrame:

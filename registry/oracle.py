@@ -415,15 +415,26 @@ def top_values(source: str, columns: list[str]) -> str:
     )
 
 
-ITEM_COLUMNS = [
-    "app_name", "restaurant_id", "creation_time_utc", "order_id", "user_id",
-    "printed_card_number", "is_loyalty", "currency", "lineitem_id", "item_category", "item_name",
-    "item_price", "item_quantity",
-]
+ITEM_TYPES = {
+    "app_name": "string", "restaurant_id": "string", "creation_time_utc": "timestamp",
+    "order_id": "string", "user_id": "string", "printed_card_number": "string",
+    "is_loyalty": "boolean", "currency": "string", "lineitem_id": "string",
+    "item_category": "string", "item_name": "string", "item_price": "decimal(18,4)",
+    "item_quantity": "int",
+}
 OPTION_TYPES = {
     "order_id": "string", "lineitem_id": "string", "option_group_name": "string",
     "option_name": "string", "option_price": "decimal(18,4)", "option_quantity": "int",
 }
+DATE_TYPES = {
+    "date_key": "string", "day_of_week": "string", "week": "int", "month": "string", "year": "int",
+    "is_weekend": "boolean", "is_holiday": "boolean", "holiday_name": "string",
+}
+SOURCE_TYPES = {
+    "order_items": ("items", ITEM_TYPES),
+    "order_item_options": ("options", OPTION_TYPES),
+    "date_dim": ("date_dim", DATE_TYPES),
+}
 CARDINAL = [
     "user_id", "order_id", "restaurant_id", "app_name", "currency", "item_category", "item_name",
     "is_loyalty",
@@ -963,21 +974,25 @@ FROM (SELECT * FROM discounts WHERE is_promotional_order
     # Quality profile
     "dq_shape_schema": " UNION ALL ".join(
         f"SELECT {i} AS position, '{c}' AS column_name, '{t}' AS data_type,"
-        f" count(*) AS row_count, {len(OPTION_TYPES)} AS column_count FROM options"
-        for i, (c, t) in enumerate(OPTION_TYPES.items())
+        f" count(*) AS row_count, {len(types)} AS column_count, '{name}' AS table_name FROM {source}"
+        for name, (source, types) in SOURCE_TYPES.items()
+        for i, (c, t) in enumerate(types.items())
     ),
     "dq_sample": """
 SELECT * REPLACE (CAST(option_price AS DOUBLE) AS option_price) FROM options
 ORDER BY order_id, lineitem_id, option_group_name, option_name LIMIT 3""",
-    "dq_null_report": null_report("items", ITEM_COLUMNS),
+    "dq_null_report": " UNION ALL ".join(
+        f"SELECT *, '{name}' AS table_name FROM ({null_report(source, list(types))})"
+        for name, (source, types) in SOURCE_TYPES.items()
+    ),
     "dq_null_report_calendar": null_report(
         "date_dim",
         ["date_key", "day_of_week", "week", "month", "year", "is_weekend", "is_holiday",
          "holiday_name"],
     ),
-    "dq_row_duplicates": duplicates("options", "ALL").replace(
-        "SELECT count(*) AS n FROM options GROUP BY ALL",
-        "SELECT count(*) AS n FROM options GROUP BY " + ", ".join(OPTION_TYPES),
+    "dq_row_duplicates": " UNION ALL ".join(
+        f"SELECT *, '{name}' AS table_name FROM ({duplicates(source, ', '.join(types))})"
+        for name, (source, types) in SOURCE_TYPES.items()
     ),
     "dq_key_duplicates_items": duplicates("items", KEY),
     "dq_key_duplicates": duplicates("options", f"{KEY}, option_name"),

@@ -56,6 +56,14 @@ class Frames:
     def date_dim(self) -> DataFrame:
         return retail.date_dim(self.tables)
 
+    @cached_property
+    def sources(self) -> dict[str, DataFrame]:
+        return {
+            "order_items": self.items,
+            "order_item_options": self.options,
+            "date_dim": self.date_dim,
+        }
+
     @cached_property
     def cleaned(self) -> DataFrame:
         return silver_plan.clean_items(self.items, CFG)
@@ -811,13 +819,13 @@ _BUILDERS |= {
 # Quality profile
 
 _BUILDERS |= {
-    "dq_shape_schema": lambda f: quality.dq_shape_schema(f.options),
+    "dq_shape_schema": lambda f: quality.per_table(f.sources, quality.dq_shape_schema),
     "dq_sample": lambda f: quality.dq_sample(
         f.options, _KEY + ["option_group_name", "option_name"]
     ),
-    "dq_null_report": lambda f: quality.dq_null_report(f.items),
+    "dq_null_report": lambda f: quality.per_table(f.sources, quality.dq_null_report),
     "dq_null_report_calendar": lambda f: quality.dq_null_report(f.date_dim),
-    "dq_row_duplicates": lambda f: quality.dq_row_duplicates(f.options),
+    "dq_row_duplicates": lambda f: quality.per_table(f.sources, quality.dq_row_duplicates),
     "dq_key_duplicates_items": lambda f: quality.dq_key_duplicates(f.items, _KEY),
     "dq_key_duplicates": lambda f: quality.dq_key_duplicates(f.options, [*_KEY, "option_name"]),
     "dq_key_duplicates_calendar": lambda f: quality.dq_key_duplicates(f.date_dim, ["date_key"]),

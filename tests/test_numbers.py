@@ -44,3 +44,29 @@ def test_only_dates_are_timestamps(spark):
     texts = ["2024-03-05T10:00:00Z", "2024-03-05", " 2024-03-05 10:00:00.5", "12:30", "T10:00:00", "20230", "x", ""]
     df = spark.createDataFrame([(t,) for t in texts], "t string").select(parse_iso_timestamp(F.col("t")).alias("ts"))
     assert [r["ts"] is not None for r in df.collect()] == [True, True, True, False, False, False, False, False]
+
+
+def test_deviation_is_exact_and_does_not_depend_on_partitions(spark):
+    import math
+    import random
+    from fractions import Fraction
+
+    from orderlens.functions.numbers import deviation
+
+    random.seed(4)
+    groups = {0: [5], 1: [3, 3, 3], 2: [0, 1], 3: [10**13, -(10**13)], 4: [1, 2]}
+    groups |= {g: [random.randrange(-(10**g), 10**g) for _ in range(200)] for g in range(5, 13)}
+    rows = [(g, Decimal(u) / 10_000) for g, units in groups.items() for u in units] + [(9, None)]
+    df = spark.createDataFrame(rows, "g int, v decimal(18,4)")
+
+    def exact(units):
+        n = len(units)
+        if n < 2:
+            return None
+        variance = (sum(u * u for u in units) - Fraction(sum(units) ** 2, n)) / (n - 1)
+        # The largest whole s with s - 1/2 <= root.
+        return Decimal((math.isqrt(math.floor(4 * variance)) + 1) // 2) / 10_000
+
+    for parts in (1, 7):
+        got = df.repartition(parts).groupBy("g").agg(deviation("v").alias("d")).collect()
+        assert {r["g"]: r["d"] for r in got} == {g: exact(units) for g, units in groups.items()}

@@ -15,8 +15,8 @@ CATEGORY_CORRECTIONS = {
 
 @dataclass(frozen=True)
 class Config:
-    # Orders whose app_name equals this value are test orders.
-    test_app_name: str = "Store - DEVELOPMENT"
+    # Orders whose app_name equals this value are test orders; it differs from source to source.
+    test_app_name: str
     category_corrections: dict[str, str] = field(
         default_factory=lambda: dict(CATEGORY_CORRECTIONS)
     )

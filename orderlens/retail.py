@@ -18,6 +18,7 @@ from orderlens.plans.silver import orders_enriched
 from orderlens.schemas import MONEY
 
 CONFIG = Config(
+    test_app_name="Store - DEVELOPMENT",
     calendar_start=date(1995, 1, 1),
     calendar_end=date(2000, 12, 31),
     bulk_price=Decimal("980"),

@@ -14,7 +14,7 @@ SCHEMA = (
     " gross_revenue decimal(18,4), is_bulk_order_candidate boolean"
 )
 DAY = date(2024, 1, 1)
-CFG = Config()
+CFG = Config("Test")
 
 
 def orders(spark, *entries):
@@ -61,7 +61,7 @@ def test_tier_uses_the_highest_running_total_weighted_by_snapshots(spark):
     got = customers.customer_clv_daily(df, CFG).select("user_id", "clv_tier").distinct()
     # Percent ranks over five rows: d 0, b and c 0.25, a 0.75.
     assert rows(got) == [("a", "Medium"), ("b", "Medium"), ("c", "Medium"), ("d", "Low")]
-    by_customer = customers.customer_clv_daily(df, Config(clv_population="customers"))
+    by_customer = customers.customer_clv_daily(df, Config("Test", clv_population="customers"))
     # Over four customers: d 0, b and c 1/3, a 1.
     assert rows(by_customer.select("user_id", "clv_tier").distinct()) == [
         ("a", "High"), ("b", "Medium"), ("c", "Medium"), ("d", "Low"),
@@ -110,7 +110,7 @@ def test_churn_windows_and_nulls(spark):
 
 def test_reference_day_can_be_fixed(spark):
     df = orders(spark, ("u", "1", 0, 1))
-    cfg = Config(reference_day=DAY + timedelta(days=50))
+    cfg = Config("Test", reference_day=DAY + timedelta(days=50))
     got = customers.customer_churn_indicators(df, cfg).first()
     assert (got["days_since_last_order"], got["churn_risk_flag"]) == (50, True)
 

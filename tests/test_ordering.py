@@ -166,7 +166,8 @@ def test_dense_ranks_carry_on_over_slices(many_slices, descending):
     got = ordering.dense_ranks(df, "v", descending)
     order = F.col("v").desc_nulls_last() if descending else F.col("v").asc_nulls_last()
     assert rows(got) == rows(df.withColumn("rank", F.dense_rank().over(Window.orderBy(order)).cast("int")))
-    assert got._jdf.queryExecution().executedPlan().toString().count("Join") == 1
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Join") == 1
 
 
 @pytest.mark.parametrize("values", [[], [5], [None], [3, 3], [1, 2, 2, None, 9]])

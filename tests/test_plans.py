@@ -50,7 +50,7 @@ def test_line_level_tables_never_meet_in_one_partition(spark, frames):
 def test_rfm_reads_only_the_months_of_its_window(spark, frames, tmp_path):
     files.write_silver(frames.silver, str(tmp_path))
     stored = files.read_silver(spark, str(tmp_path))
-    cfg = Config(reference_day=date(1997, 12, 31))
+    cfg = Config("Test", reference_day=date(1997, 12, 31))
     text = customers.customer_recency(stored, cfg)._jdf.queryExecution().toString()
     assert "PushedFilters: [IsNotNull(order_date), GreaterThanOrEqual(order_date,1997-07-04)" in text
     assert "make_date(year" in text.split("PartitionFilters: [")[1].split("PushedFilters")[0]
@@ -60,7 +60,7 @@ def test_rfm_reads_only_the_months_of_its_window(spark, frames, tmp_path):
 
 def test_sales_trends_reads_only_its_columns(spark, frames, tmp_path):
     files.write_silver(frames.silver, str(tmp_path))
-    text = sales.sales_trends(files.read_silver(spark, str(tmp_path)), Config())
+    text = sales.sales_trends(files.read_silver(spark, str(tmp_path)), Config("Test"))
     read = text._jdf.queryExecution().toString().split("ReadSchema: struct<")[1]
     assert "item_name" not in read and "lineitem_id" not in read
 
@@ -79,7 +79,7 @@ def test_a_long_category_list_is_joined_without_broadcast(spark, monkeypatch):
         F.lit(Decimal("2")).cast("decimal(18,4)").alias("item_price"),
         F.lit(1).alias("item_quantity"),
     )
-    got = promotions.promo_item_signals(lines, Config())
+    got = promotions.promo_item_signals(lines, Config("Test"))
     assert got.count() == 40
     assert got.agg(F.min("category_avg_price")).first()[0] == 2
 
@@ -105,12 +105,12 @@ def test_distinct_counts_do_not_expand_rows(spark, frames):
 
 def test_gold_reads_stored_order_facts_by_column_and_month(spark, frames, tmp_path):
     facts = files.store_by_month(customers.order_facts(frames.silver), str(tmp_path))
-    recent = customers.customer_recency(facts, Config())
+    recent = customers.customer_recency(facts, Config("Test"))
     text = explained(recent)
     # The first month wanted is only known at run time.
     scan = text.split("PartitionFilters: [")[1].split("ReadSchema")[0]
     assert "make_date(year" in scan and "Subquery" in scan
     read = text.split("ReadSchema: struct<")[1].split(">")[0]
     assert "restaurant_id" not in read and "is_bulk_order_candidate" not in read
-    read = explained(customers.loyalty_comparison(facts, Config())).split("ReadSchema: struct<")[1]
+    read = explained(customers.loyalty_comparison(facts, Config("Test"))).split("ReadSchema: struct<")[1]
     assert "restaurant_id" not in read.split(">")[0]

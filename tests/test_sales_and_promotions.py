@@ -8,7 +8,7 @@ from orderlens.plans import promotions, sales
 
 from conftest import rows
 
-CFG = Config()
+CFG = Config("Test")
 ORDERS = "restaurant_id string, order_id string, user_id string, order_date date, gross_revenue decimal(18,4)"
 
 

@@ -13,6 +13,12 @@ BROADCAST_ROWS = 100_000
 
 
 def build_session(app_name: str = "orderlens", **settings: str) -> SparkSession:
+    """A session with the settings that the jobs rely on; ``settings`` adds to them or replaces them.
+
+    Adaptive execution merges small shuffle partitions and splits skewed ones, but never makes more than
+    ``spark.sql.shuffle.partitions``: set it so that a partition of the largest shuffle (the order lines)
+    has about 200 MB, that is 5,000 for each TB shuffled. Spark's default of 200 is for small data.
+    """
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")

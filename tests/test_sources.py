@@ -169,6 +169,13 @@ def test_jdbc_options():
         jdbc.write_options(connection, "x; drop table y", "dbo", 4)
 
 
+@pytest.mark.parametrize("table", ["order_items", "order_item_options"])
+def test_growing_tables_are_not_read_by_a_single_task(spark, table):
+    connection = jdbc.Connection("jdbc:x", "me", "secret", "a.Driver")
+    with pytest.raises(ValueError, match="needs a split"):
+        pipeline.read_source(spark, "jdbc", table, connection=connection)
+
+
 def test_schema_has_the_loader_columns():
     assert len(ORDER_ITEMS) == 13 and len(ORDER_ITEM_OPTIONS) == 6
 

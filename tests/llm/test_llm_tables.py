@@ -229,7 +229,7 @@ def test_reversed_host_keys():
 
 def test_registered_names_and_the_sql_of_the_archives(spark):
     duckdb = pytest.importorskip("duckdb")
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     database = duckdb.connect()
     database.execute(f"CREATE VIEW pages AS SELECT * FROM '{BASE}/pages.parquet'")
     expected = database.execute(ORACLE["op4_capture_index"]).fetchall()

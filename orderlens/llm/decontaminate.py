@@ -1,20 +1,28 @@
 """Benchmark decontamination by template canonicalisation, in DataFrame functions only.
 
-A word is stripped of signs at its ends. Numbers, numbers with a unit, units, and names (a capital
-followed by small letters) become typed placeholders, all else is lower-cased; the rule looks at the
-word alone, so a passage has the same template wherever it stands. Every window of ``WINDOW`` template
-words of a document is hashed and joined with the windows of the benchmark items. Matches of one
-document and item that lie on one diagonal (place in the document minus place in the item) are
-counted, and a diagonal that covers at least ``LEAST_COVERAGE`` of the item's windows is a candidate.
-Candidates are read again and aligned word by word: the words in their slots must correspond one to
-one (each filler of the item to one filler of the document, and back). So an item is found verbatim
-as well as with other numbers and names, but not by filling its slots at random.
-
-The windows of a document never leave its task unless an item has them too. The item table is
-broadcast if a count shows it small, and joined by shuffle otherwise.
+A word is stripped of signs at its ends and lower-cased; numbers, numbers with a unit and units become
+typed placeholders. A text is then read twice: word by word (*plain* reading: names stay lower-case
+words), and with every run of names (a capital followed by small letters) as one placeholder (*typed*
+reading). Every window of ``WINDOW`` entries of the plain reading, and every window of the typed one
+that holds a name, is hashed and joined with the windows of the benchmark items.
+
+Matches of one text and item that lie on one diagonal (place in the text minus place in the item) form
+a run. Runs on neighbouring diagonals, at most ``2 * drift`` apart, are chained, so words put in or left
+out and names of another length do not part them (drift: ``LEAST_DRIFT`` and a quarter of the item's
+words). A chain whose windows cover ``LEAST_COVERAGE`` of the item's words is a candidate, and its text is
+read again. Its runs are taken from the longest; one counts only if the fillers of its slots, with those
+of the runs taken before, correspond one to one (each filler of the item to one of the text, and back),
+and what is taken must still cover ``LEAST_COVERAGE``, and ``LEAST_WORDS`` words or all of a shorter item.
+So an item is found verbatim, in other case, with other numbers and names, with single words replaced,
+put in or left out, and as the larger part of it, but not by filling its slots at random.
+
+A leak is a property of the text, so texts are told apart by 128 bits of hash and copies are looked at
+once; no row number is needed. The windows of a document never leave its task unless an item has them
+too; what is gathered per text and item is bounded by the item's windows. The item table and the leaks
+are broadcast if a count shows them small, and joined by shuffle otherwise.
 
 Defined results: null or empty texts match nothing. Items of fewer than ``WINDOW`` words, and windows
-with fewer than two words that are no placeholders, are no evidence; an item without evidence is
+with fewer than two entries that are no placeholders, are no evidence; an item without evidence is
 never found. Repeated rows and items are reported for each. A null id is reported as null. Other
 columns play no part. Empty tables give an empty result.
 """
@@ -28,7 +36,9 @@ from orderlens.llm.common import let, stored, words_of
 from orderlens.session import broadcast_if_small
 
 WINDOW = 5
-LEAST_COVERAGE = 0.8
+LEAST_COVERAGE = 0.65
+LEAST_WORDS = 8
+LEAST_DRIFT = 3
 
 # Signs stripped from the ends of a word, and units.
 SIGNS = ".,;:!?\"'()[]{}<>*#%&$|_~`/\\-–—“”‘’«»¿¡"
@@ -38,59 +48,289 @@ UNITS = (
     "dollar|dollars|cent|cents|euro|euros|percent|mph|kmh"
 )
 # "in" is a unit only next to a number, and a rule that looks at the word alone leaves it a word.
-_UNIT_WORDS = UNITS.replace("|in|", "|")
+_UNIT_WORDS = [u for u in UNITS.split("|") if u != "in"]
 _NUMBER = "^[+-]?[0-9][0-9.,]*(?:st|nd|rd|th)?$"
 _NUMBER_UNIT = f"^[0-9][0-9.,]*(?:{UNITS})$"
 _NAME = "^\\p{Lu}\\p{Ll}+$"
+# An odd code stands for a name: any word's code is a hash whose lowest bit tells names from others.
+_ANY_NAME = 1
+_TEXT_HASHES = ["text_hash_1", "text_hash_2"]
 
 
 def _stripped(words: Column) -> Column:
     return F.transform(words, lambda w: F.btrim(w, F.lit(SIGNS)))
 
 
-def _template(word: Column) -> Column:
-    """The placeholder of a stripped word, or the word in lower case."""
+def _plain(word: Column) -> Column:
+    """The placeholder of a stripped word that is a number or unit, or the word in lower case."""
+    low = F.lower(word)
     return (
-        F.when(word.rlike(_NAME), F.lit("<name>"))
-        .when(
+        F.when(
             word.rlike("^[+-]?[0-9]"),
-            F.when(word.rlike(_NUMBER), F.lit("<number>"))
-            .when(F.lower(word).rlike(_NUMBER_UNIT), F.lit("<quantity>"))
-            .otherwise(F.lower(word)),
+            F.when(low.rlike(_NUMBER), F.lit("<number>")).when(low.rlike(_NUMBER_UNIT), F.lit("<quantity>")).otherwise(low),
         )
-        .when(word.rlike(f"^(?:{_UNIT_WORDS})$"), F.lit("<unit>"))
-        .otherwise(F.lower(word))
+        .when(low.isin(_UNIT_WORDS), F.lit("<unit>"))
+        .otherwise(low)
+    )
+
+
+def _is_name(code: Column) -> Column:
+    return code.bitwiseAND(F.lit(1)) == 1
+
+
+def _codes(words: Column) -> Column:
+    """A hash of each word's plain entry, odd for names."""
+    return F.transform(
+        words,
+        lambda w: F.xxhash64(_plain(w)).bitwiseAND(F.lit(-2)) + F.when(w.rlike(_NAME), F.lit(1)).otherwise(F.lit(0)),
+    )
+
+
+def _starts(codes: Column) -> Column:
+    """Where the entries of the typed reading begin: at every word but a name that follows a name."""
+    return F.filter(
+        F.transform(codes, lambda _, i: i),
+        lambda i: ~(_is_name(F.get(codes, i)) & F.coalesce(_is_name(F.get(codes, i - 1)), F.lit(False))),
     )
 
 
-def _windows(templates: Column) -> Column:
-    """Place and hash of every full window."""
+def _hashes(entries: Column) -> Column:
+    """A hash of every full window."""
     return F.transform(
-        F.slice(templates, 1, F.greatest(F.size(templates) - (WINDOW - 1), F.lit(0))),
-        lambda x, i: F.xxhash64(x, *[F.get(templates, i + k) for k in range(1, WINDOW)]),
+        F.slice(entries, 1, F.greatest(F.size(entries) - (WINDOW - 1), F.lit(0))),
+        lambda x, i: F.xxhash64(x, *[F.get(entries, i + k) for k in range(1, WINDOW)]),
+    )
+
+
+def _windows(words: Column) -> Column:
+    """Hash, first entry (those of the typed reading follow the plain ones) and first word of each window."""
+
+    def plain(codes: Column) -> Column:
+        return F.transform(
+            let(F.transform(codes, lambda c: c.bitwiseAND(F.lit(-2))), _hashes),
+            lambda h, i: F.struct(h.alias("hash"), i.alias("entry"), i.alias("place")),
+        )
+
+    def typed(codes: Column, starts: Column) -> Column:
+        entries = F.transform(
+            starts, lambda s: F.when(_is_name(F.get(codes, s)), F.lit(_ANY_NAME).cast("long")).otherwise(F.get(codes, s))
+        )
+
+        def named(entries: Column) -> Column:
+            names = lambda i: sum(F.get(entries, i + k).bitwiseAND(F.lit(1)) for k in range(WINDOW))
+            all_windows = F.transform(
+                F.slice(entries, 1, F.greatest(F.size(entries) - (WINDOW - 1), F.lit(0))),
+                lambda x, i: F.when(
+                    names(i) > 0,
+                    F.struct(
+                        F.xxhash64(x, *[F.get(entries, i + k) for k in range(1, WINDOW)]).alias("hash"),
+                        (F.size(codes) + i).alias("entry"),
+                        F.get(starts, i).alias("place"),
+                    ),
+                ),
+            )
+            return F.filter(all_windows, lambda w: w.isNotNull())
+
+        return let(entries, named)
+
+    return let(_codes(words), lambda c: F.concat(plain(c), let(_starts(c), lambda s: typed(c, s))))
+
+
+def _entries(words: Column) -> Column:
+    """Both readings, plain then typed: template, filler, first word and end of each entry."""
+
+    def plain(words: Column) -> Column:
+        return F.transform(
+            words,
+            lambda w, i: F.struct(_plain(w).alias("t"), F.lower(w).alias("filler"), i.alias("at"), (i + 1).alias("upto")),
+        )
+
+    def typed(words: Column, starts: Column) -> Column:
+        def entry(s: Column, k: Column) -> Column:
+            end = F.coalesce(F.get(starts, k + 1), F.size(words))
+            return F.struct(
+                F.when(F.get(words, s).rlike(_NAME), F.lit("<name>")).otherwise(_plain(F.get(words, s))).alias("t"),
+                F.lower(F.array_join(F.slice(words, s + 1, end - s), " ")).alias("filler"),
+                s.alias("at"),
+                end.alias("upto"),
+            )
+
+        return F.transform(starts, entry)
+
+    return let(words, lambda w: F.concat(plain(w), let(let(_codes(w), _starts), lambda s: typed(w, s))))
+
+
+def _is_slot(entry: Column) -> Column:
+    # Signs are stripped, so only placeholders begin with one.
+    return entry["t"].startswith("<")
+
+
+def _covered(windows: Column) -> Column:
+    """How many words of the item lie in any of the windows."""
+    return F.size(
+        F.array_distinct(F.flatten(F.transform(windows, lambda w: F.sequence(w["at"], w["upto"] - 1))))
     )
 
 
 def _items(benchmark: DataFrame, item: str, text: str) -> DataFrame:
-    """Items with their words, template and windows that count."""
-    tokens = benchmark.select(F.col(item).alias("item"), _stripped(words_of(F.col(text))).alias("words"))
-    templates = tokens.withColumn("template", F.transform("words", _template))
-    plain = lambda x: F.when(x.startswith("<"), 0).otherwise(1)
-    enough = lambda i: sum(
-        (plain(F.get("template", i + k)) for k in range(1, WINDOW)), plain(F.get("template", i))
-    ) > 1
-    windows = F.filter(
-        F.transform(_windows(F.col("template")), lambda h, i: F.struct(h.alias("hash"), i.alias("at"))),
-        lambda w: enough(w["at"]),
+    """Items with their entries, the windows that count, ``size`` (words in them), ``need`` and ``drift``."""
+    split = benchmark.select(F.col(item).alias("item"), _stripped(words_of(F.col(text))).alias("words"))
+    read = stored(
+        split.where(F.size("words") >= WINDOW).select(
+            "item", F.size("words").alias("n"), _entries(F.col("words")).alias("entries"), _windows(F.col("words")).alias("found")
+        )
     )
+    slots = lambda w: sum(
+        F.when(_is_slot(F.get("entries", w["entry"] + k)), 1).otherwise(0) for k in range(WINDOW)
+    )
+    spans = F.transform(
+        F.filter("found", lambda w: slots(w) <= WINDOW - 2),
+        lambda w: F.struct(
+            w["hash"].alias("hash"),
+            w["entry"].alias("mine"),
+            w["place"].alias("at"),
+            F.get("entries", w["entry"] + (WINDOW - 1))["upto"].alias("upto"),
+        ),
+    )
+    sized = read.withColumn("windows", spans).where(F.size("windows") > 0).withColumn("size", _covered(F.col("windows")))
     return stored(
-        templates.where(F.size("words") >= WINDOW)
-        .withColumn("windows", windows)
-        .where(F.size("windows") > 0)
-        .withColumn("item_row", F.monotonically_increasing_id())
+        sized.select(
+            "item",
+            "n",
+            "entries",
+            "windows",
+            "size",
+            F.greatest(
+                F.ceil(LEAST_COVERAGE * F.col("size")).cast("int"), F.least(F.col("size"), F.lit(LEAST_WORDS))
+            ).alias("need"),
+            (F.lit(LEAST_DRIFT) + F.floor(F.col("n") / 4)).cast("int").alias("drift"),
+            F.monotonically_increasing_id().alias("item_row"),
+        )
     )
 
 
+def _text_hashes(text: str, names: list[str] = _TEXT_HASHES) -> list[Column]:
+    return [F.xxhash64(F.col(text)).alias(names[0]), F.xxhash64(F.lit(1), F.col(text)).alias(names[1])]
+
+
+def _chains(docs: DataFrame, items: DataFrame, text: str) -> DataFrame:
+    """Per text, item and band of diagonals: the runs of matching windows, if they cover enough."""
+    wanted = items.select("item_row", "n", "need", "drift", F.inline("windows"))
+    hashed = docs.select(
+        *_text_hashes(text),
+        F.inline(_windows(_stripped(words_of(F.col(text))))).alias("hash", "entry", "place"),
+    )
+    window = F.struct("mine", F.col("entry").alias("other"), "at", "upto")
+    runs = (
+        hashed.join(broadcast_if_small(wanted), "hash")
+        .groupBy(
+            *_TEXT_HASHES,
+            "item_row",
+            (F.col("mine") >= F.col("n")).alias("typed"),
+            (F.col("place") - F.col("at")).alias("start"),
+        )
+        .agg(F.collect_set(window).alias("windows"), F.max("need").alias("need"), F.max("drift").alias("drift"))
+    )
+    # A band is two drifts wide and they overlap by one, so runs up to a drift apart share one.
+    band = F.floor(F.col("start") / F.col("drift"))
+    run = F.struct((-F.size("windows")).alias("order"), "typed", "start", "windows")
+    return (
+        runs.withColumn("band", F.explode(F.array(band, band - 1)))
+        .groupBy(*_TEXT_HASHES, "item_row", "band")
+        .agg(F.collect_list(run).alias("runs"), F.max("need").alias("need"))
+        .where(_covered(F.flatten("runs.windows")) >= F.col("need"))
+        .select(*_TEXT_HASHES, "item_row", F.array_sort("runs").alias("runs"))
+    )
+
+
+def _taken(runs: Column, mine: Column, other: Column) -> Column:
+    """Fold of the runs, longest first: the windows and slots of those that agree with one another."""
+
+    def one_to_one(slots: Column) -> Column:
+        pairs = F.array_distinct(F.transform(slots, lambda s: F.struct(s["mine"].alias("mine"), s["other"].alias("other"))))
+        return let(
+            pairs,
+            lambda p: (F.size(p) == F.size(F.array_distinct(p["mine"]))) & (F.size(p) == F.size(F.array_distinct(p["other"]))),
+        )
+
+    def slots_of(windows: Column) -> Column:
+        def of_window(w: Column) -> Column:
+            places = F.array(*[F.lit(k) for k in range(WINDOW)])
+            slots = F.filter(places, lambda k: _is_slot(F.get(mine, w["mine"] + k)))
+            return F.transform(
+                slots,
+                lambda k: F.struct(
+                    F.get(mine, w["mine"] + k)["at"].alias("at"),
+                    F.get(mine, w["mine"] + k)["filler"].alias("mine"),
+                    F.get(other, w["other"] + k)["filler"].alias("other"),
+                ),
+            )
+
+        return F.flatten(F.transform(windows, of_window))
+
+    def equal(w: Column) -> Column:
+        """Equal entries, not only equal hashes."""
+        same = F.lit(True)
+        for k in range(WINDOW):
+            same = same & F.get(mine, w["mine"] + k)["t"].eqNullSafe(F.get(other, w["other"] + k)["t"])
+        return same
+
+    def take(so_far: Column, run: Column) -> Column:
+        return let(
+            F.filter(run["windows"], equal),
+            lambda windows: let(
+                F.array_union(so_far["slots"], slots_of(windows)),
+                lambda slots: F.when(
+                    one_to_one(slots),
+                    F.struct(F.concat(so_far["windows"], windows).alias("windows"), slots.alias("slots")),
+                ).otherwise(so_far),
+            ),
+        )
+
+    nothing = F.struct(
+        F.array().cast("array<struct<mine:int,other:int,at:int,upto:int>>").alias("windows"),
+        F.array().cast("array<struct<at:int,mine:string,other:string>>").alias("slots"),
+    )
+    return F.aggregate(runs, nothing, take)
+
+
+def _leaks(docs: DataFrame, benchmark: DataFrame, text: str, item: str, item_text: str) -> DataFrame:
+    """Text hashes, item, ``coverage``, ``start_word`` and ``n_changed``, one row per text and item row."""
+    items = _items(benchmark, item, item_text)
+    chains = stored(_chains(docs, items, text))
+    texts = stored(chains.select(*_TEXT_HASHES).distinct())
+    hashed = docs.select(F.col(text).alias("text"), *_text_hashes(text))
+    suspects = stored(
+        hashed.join(broadcast_if_small(texts), _TEXT_HASHES, "left_semi")
+        .dropDuplicates(_TEXT_HASHES)
+        .select(*_TEXT_HASHES, _entries(_stripped(words_of(F.col("text")))).alias("theirs"))
+    )
+    met = (
+        chains.join(suspects, _TEXT_HASHES)
+        .join(broadcast_if_small(items.select("item_row", "item", "entries", "size", "need")), "item_row")
+        .withColumn("taken", _taken(F.col("runs"), F.col("entries"), F.col("theirs")))
+    )
+    changed = F.filter("taken.slots", lambda s: s["mine"] != s["other"])
+    checked = stored(
+        met.select(
+            *_TEXT_HASHES,
+            "item_row",
+            "item",
+            "size",
+            "need",
+            _covered(F.col("taken.windows")).alias("covered"),
+            F.array_min(F.transform("taken.windows", lambda w: F.get("theirs", w["other"])["at"])).alias("start_word"),
+            F.size(F.array_distinct(F.transform(changed, lambda s: s["at"]))).alias("n_changed"),
+        )
+    ).where("covered >= need")
+    # One best place per text and item.
+    leak = F.struct("item", (F.col("covered") / F.col("size")).alias("coverage"), "start_word", "n_changed")
+    best = checked.groupBy(*_TEXT_HASHES, "item_row").agg(
+        F.max_by(leak, F.struct("covered", -F.col("n_changed"), -F.col("start_word"))).alias("leak")
+    )
+    return stored(best.select(*_TEXT_HASHES, "leak.*"))
+
+
 def find_contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -100,87 +340,17 @@ def find_contaminated(
     item_text: str = "text",
 ) -> DataFrame:
     """Key, item, ``coverage``, ``start_word`` and ``n_changed`` (slots filled differently) of each leak."""
-    items = _items(benchmark, item, item_text)
-    wanted = items.select("item_row", F.size("windows").alias("n"), F.inline("windows"))
-    # The row number is taken first: next to a generator it would number the generated rows.
-    numbered = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.col(key).alias("key"),
-        let(F.transform(_stripped(words_of(F.col(text))), _template), _windows).alias("hashes"),
-    )
-    hashed = numbered.select("row", "key", F.posexplode("hashes").alias("place", "hash"))
-    # A window that an item repeats still counts once per place of the item.
-    diagonals = (
-        hashed.join(broadcast_if_small(wanted), "hash")
-        .groupBy("row", "key", "item_row", (F.col("place") - F.col("at")).alias("start"))
-        .agg(F.count(F.lit(1)).alias("found"), F.max("n").alias("n"))
-        .where(F.col("found") >= LEAST_COVERAGE * F.col("n"))
-        .withColumn("coverage", F.col("found") / F.col("n"))
-    )
-    # Every place that reaches the coverage; the best is chosen among those whose slots agree.
-    places = stored(diagonals.select("key", "item_row", "coverage", "start").distinct())
-    keys = stored(places.select("key").distinct())
-    suspects = stored(
-        docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-        .join(broadcast_if_small(keys.withColumnRenamed("key", "of")), F.col("key").eqNullSafe(F.col("of")), "left_semi")
-        .select(
-            "key",
-            F.monotonically_increasing_id().alias("suspect"),
-            _stripped(words_of(F.col("text"))).alias("doc_words"),
-        )
-    )
-    candidates = suspects.join(places.withColumnRenamed("key", "of"), F.col("key").eqNullSafe(F.col("of"))).join(
-        broadcast_if_small(items), "item_row"
+    leaks = _leaks(docs, benchmark, text, item, item_text)
+    rows = docs.select(F.col(key).alias("key"), *_text_hashes(text))
+    return rows.join(broadcast_if_small(leaks), _TEXT_HASHES).select(
+        F.col("key").alias(key), F.col("item").alias(item), "coverage", "start_word", "n_changed"
     )
-    theirs = F.transform(
-        F.sequence(F.lit(0), F.size("words") - 1),
-        # Before the first word there is none (get() of a negative place is null).
-        lambda i: F.get("doc_words", F.col("start") + i),
-    )
-    aligned = F.zip_with(
-        F.zip_with("words", "template", lambda w, t: F.struct(w.alias("w"), t.alias("t"))),
-        theirs,
-        lambda mine, other: F.struct(
-            mine["w"].alias("mine"), mine["t"].alias("t"), other.alias("other"), _template(other).alias("o")
-        ),
-    )
-    slots = F.filter(aligned, lambda x: x["t"].startswith("<") & (x["t"] == x["o"]))
-    agreeing = F.size(F.filter(aligned, lambda x: x["t"] == x["o"]))
-    fillers = F.array_distinct(F.transform("slots", lambda x: F.struct(x["mine"], x["other"])))
-    one_to_one = (F.size(fillers) == F.size(F.array_distinct("slots.mine"))) & (
-        F.size(fillers) == F.size(F.array_distinct("slots.other"))
-    )
-    checked = candidates.select(
-        "suspect",
-        "item_row",
-        "key",
-        "item",
-        "coverage",
-        F.col("start").alias("start_word"),
-        F.size("words").alias("size"),
-        agreeing.alias("agreeing"),
-        slots.alias("slots"),
-    ).where((F.col("agreeing") >= LEAST_COVERAGE * F.col("size")) & one_to_one)
-    changed = F.size(F.filter("slots", lambda x: x["mine"] != x["other"]))
-    # One best place per document row and item.
-    leak = F.struct("key", "item", "coverage", "start_word", changed.alias("n_changed"))
-    best = checked.groupBy("suspect", "item_row").agg(
-        F.max_by(leak, F.struct("coverage", -F.col("start_word"))).alias("leak")
-    )
-    return best.select(
-        F.col("leak.key").alias(key),
-        F.col("leak.item").alias(item),
-        "leak.coverage",
-        "leak.start_word",
-        "leak.n_changed",
-    )
-
-
-def remove_contaminated(
-    docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id"
-) -> DataFrame:
+
+
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The documents, all columns, without those that leak an item. A row needs no id."""
-    row = "_leak_row"
-    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()))
-    leaks = stored(find_contaminated(numbered.select(row, text), benchmark, text, row).select(row).distinct())
-    return numbered.join(broadcast_if_small(leaks), row, "left_anti").select(*docs.columns)
+    hidden = [f"_leak_{n}" for n in _TEXT_HASHES]
+    leaks = _leaks(docs, benchmark, text, "item_id", "text")
+    gone = stored(leaks.select(*[F.col(n).alias(h) for n, h in zip(_TEXT_HASHES, hidden, strict=True)]).distinct())
+    hashed = docs.select("*", *_text_hashes(text, hidden))
+    return hashed.join(broadcast_if_small(gone), hidden, "left_anti").select(*docs.columns)

@@ -61,12 +61,12 @@ def _stripped(words: Column) -> Column:
     return F.transform(words, lambda w: F.btrim(w, F.lit(SIGNS)))
 
 
-def _plain(word: Column) -> Column:
-    """The placeholder of a stripped word that is a number or unit, or the word in lower case."""
-    low = F.lower(word)
+def _plain(low: Column) -> Column:
+    """The placeholder of a stripped word in lower case that is a number or unit, or the word itself."""
+    # Digits and their signs sort before the colon, so other words meet no pattern.
     return (
         F.when(
-            word.rlike("^[+-]?[0-9]"),
+            (low < ":") & low.rlike("^[+-]?[0-9]"),
             F.when(low.rlike(_NUMBER), F.lit("<number>")).when(low.rlike(_NUMBER_UNIT), F.lit("<quantity>")).otherwise(low),
         )
         .when(low.isin(_UNIT_WORDS), F.lit("<unit>"))
@@ -79,11 +79,19 @@ def _is_name(code: Column) -> Column:
 
 
 def _codes(words: Column) -> Column:
-    """A hash of each word's plain entry, odd for names."""
-    return F.transform(
-        words,
-        lambda w: F.xxhash64(_plain(w)).bitwiseAND(F.lit(-2)) + F.when(w.rlike(_NAME), F.lit(1)).otherwise(F.lit(0)),
-    )
+    """A hash of each word's plain entry, odd for names. No stripped word holds a space."""
+
+    def of_lowered(words: Column, lowered: Column) -> Column:
+        def code(low: Column, i: Column) -> Column:
+            word = F.get(words, i)
+            name = F.when((word != low) & word.rlike(_NAME), F.lit(1)).otherwise(F.lit(0))
+            return F.xxhash64(_plain(low)).bitwiseAND(F.lit(-2)) + name
+
+        return F.transform(lowered, code)
+
+    # The whole text is lower-cased at once, which is faster than word by word.
+    lowered = lambda w: F.split(F.lower(F.array_join(w, " ")), " ")
+    return let(words, lambda w: let(lowered(w), lambda low: of_lowered(w, low)))
 
 
 def _starts(codes: Column) -> Column:
@@ -142,14 +150,14 @@ def _entries(words: Column) -> Column:
     def plain(words: Column) -> Column:
         return F.transform(
             words,
-            lambda w, i: F.struct(_plain(w).alias("t"), F.lower(w).alias("filler"), i.alias("at"), (i + 1).alias("upto")),
+            lambda w, i: F.struct(_plain(F.lower(w)).alias("t"), F.lower(w).alias("filler"), i.alias("at"), (i + 1).alias("upto")),
         )
 
     def typed(words: Column, starts: Column) -> Column:
         def entry(s: Column, k: Column) -> Column:
             end = F.coalesce(F.get(starts, k + 1), F.size(words))
             return F.struct(
-                F.when(F.get(words, s).rlike(_NAME), F.lit("<name>")).otherwise(_plain(F.get(words, s))).alias("t"),
+                F.when(F.get(words, s).rlike(_NAME), F.lit("<name>")).otherwise(_plain(F.lower(F.get(words, s)))).alias("t"),
                 F.lower(F.array_join(F.slice(words, s + 1, end - s), " ")).alias("filler"),
                 s.alias("at"),
                 end.alias("upto"),

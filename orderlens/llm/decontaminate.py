@@ -29,6 +29,8 @@ columns play no part. Empty tables give an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -102,44 +104,30 @@ def _starts(codes: Column) -> Column:
     )
 
 
-def _hashes(entries: Column) -> Column:
-    """A hash of every full window."""
-    return F.transform(
-        F.slice(entries, 1, F.greatest(F.size(entries) - (WINDOW - 1), F.lit(0))),
-        lambda x, i: F.xxhash64(x, *[F.get(entries, i + k) for k in range(1, WINDOW)]),
-    )
-
-
 def _windows(words: Column) -> Column:
-    """Hash, first entry (those of the typed reading follow the plain ones) and first word of each window."""
+    """Hash, first entry (those of the typed reading follow the plain ones) and first word of each window.
 
-    def plain(codes: Column) -> Column:
-        return F.transform(
-            let(F.transform(codes, lambda c: c.bitwiseAND(F.lit(-2))), _hashes),
-            lambda h, i: F.struct(h.alias("hash"), i.alias("entry"), i.alias("place")),
-        )
+    Typed windows without a name are among them; no item asks for those.
+    """
 
-    def typed(codes: Column, starts: Column) -> Column:
-        entries = F.transform(
-            starts, lambda s: F.when(_is_name(F.get(codes, s)), F.lit(_ANY_NAME).cast("long")).otherwise(F.get(codes, s))
+    def of(entries: Column, reading: int, first: Column, place: Callable[[Column], Column]) -> Column:
+        return F.transform(
+            F.slice(entries, 1, F.greatest(F.size(entries) - (WINDOW - 1), F.lit(0))),
+            lambda x, i: F.struct(
+                F.xxhash64(x, *[F.get(entries, i + k) for k in range(1, WINDOW)], F.lit(reading)).alias("hash"),
+                (first + i).alias("entry"),
+                place(i).alias("place"),
+            ),
         )
 
-        def named(entries: Column) -> Column:
-            names = lambda i: sum(F.get(entries, i + k).bitwiseAND(F.lit(1)) for k in range(WINDOW))
-            all_windows = F.transform(
-                F.slice(entries, 1, F.greatest(F.size(entries) - (WINDOW - 1), F.lit(0))),
-                lambda x, i: F.when(
-                    names(i) > 0,
-                    F.struct(
-                        F.xxhash64(x, *[F.get(entries, i + k) for k in range(1, WINDOW)]).alias("hash"),
-                        (F.size(codes) + i).alias("entry"),
-                        F.get(starts, i).alias("place"),
-                    ),
-                ),
-            )
-            return F.filter(all_windows, lambda w: w.isNotNull())
+    def plain(codes: Column) -> Column:
+        entries = F.transform(codes, lambda c: c.bitwiseAND(F.lit(-2)))
+        return let(entries, lambda e: of(e, 0, F.lit(0), lambda i: i))
 
-        return let(entries, named)
+    def typed(codes: Column, starts: Column) -> Column:
+        name = F.lit(_ANY_NAME).cast("long")
+        entries = F.transform(starts, lambda s: F.when(_is_name(F.get(codes, s)), name).otherwise(F.get(codes, s)))
+        return let(entries, lambda e: of(e, 1, F.size(codes), lambda i: F.get(starts, i)))
 
     return let(_codes(words), lambda c: F.concat(plain(c), let(_starts(c), lambda s: typed(c, s))))
 
@@ -191,8 +179,12 @@ def _items(benchmark: DataFrame, item: str, text: str) -> DataFrame:
     slots = lambda w: sum(
         F.when(_is_slot(F.get("entries", w["entry"] + k)), 1).otherwise(0) for k in range(WINDOW)
     )
+    # A typed window without a name says what the plain one says.
+    named = lambda w: (w["entry"] < F.col("n")) | F.exists(
+        F.slice("entries", w["entry"] + 1, WINDOW), lambda e: e["t"] == "<name>"
+    )
     spans = F.transform(
-        F.filter("found", lambda w: slots(w) <= WINDOW - 2),
+        F.filter("found", lambda w: (slots(w) <= WINDOW - 2) & named(w)),
         lambda w: F.struct(
             w["hash"].alias("hash"),
             w["entry"].alias("mine"),

@@ -340,15 +340,21 @@ def keep_one_each(
 ) -> DataFrame:
     """The documents, all columns, with one left of every component: that with the smallest id.
 
-    Of rows that repeat that id, one stays.
+    Rows are told apart by a stored number, so rows that share an id or have none are compared by their
+    texts like all others. Rows with an id go before those without; of equal ids the earliest row stays.
     """
-    found = stored(find_near_duplicates(docs, shingle_words, percent, text, key))
-    gone = stored(found.where(f"not kept and {key} is not null").select(key).distinct())
-    left = docs.join(broadcast_if_small(gone), key, "left_anti")
-    repeated = stored(
-        found.where(f"kept and {key} is not null").groupBy(key).count().where("count > 1").select(key)
+    row = "_near_row"
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()))
+    plain = numbered.select(F.col(row), F.col(text).alias("text"))
+    found = find_near_duplicates(plain, shingle_words, percent, "text", row).select(row, "component_id")
+    ids = numbered.select(row, F.col(key).alias("id"))
+    order = F.struct(F.col("id").isNull().alias("missing"), "id", row)
+    members = stored(found.join(ids, row))
+    # Only rows of larger components can go.
+    first = (
+        members.groupBy("component_id")
+        .agg(F.count(F.lit(1)).alias("n"), F.min(order)[row].alias("stays"))
+        .where("n > 1")
     )
-    if repeated.isEmpty():
-        return left
-    once = left.join(broadcast_if_small(repeated), key, "left_semi").dropDuplicates([key])
-    return left.join(broadcast_if_small(repeated), key, "left_anti").unionByName(once)
+    gone = stored(members.join(broadcast_if_small(stored(first)), "component_id").where(F.col(row) != F.col("stays")).select(row))
+    return numbered.join(broadcast_if_small(gone), row, "left_anti").select(*docs.columns)

@@ -89,6 +89,18 @@ def test_near_duplicates_with_repeated_and_missing_ids(spark):
     assert near_duplicates.find_near_duplicates(spark.createDataFrame([], EMPTY)).count() == 0
 
 
+def test_one_row_of_each_group_stays_whatever_the_ids(spark):
+    text, other = "a b c d e f g h", "another text that shares an id with the first one"
+    texts = [text, other, text, text, "no id twice over here", "no id twice over here", None, "", "x y z"]
+    docs = documents(spark, texts, [3, 3, 3, 1, None, None, None, 8, None])
+    kept = near_duplicates.keep_one_each(docs)
+    assert kept.columns == docs.columns
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter(
+        [(1, text), (3, other), (None, "no id twice over here"), (None, None), (8, ""), (None, "x y z")]
+    )
+    assert near_duplicates.keep_one_each(docs.limit(0)).count() == 0
+
+
 def test_sketch_agreement_follows_similarity():
     random_numbers = np.random.default_rng(1)
     for share in (0.2, 0.5, 0.8):

@@ -2,12 +2,23 @@
 
 from decimal import Decimal
 
+import pytest
+
 from orderlens.operators.tables import conform
-from orderlens.plans import changes
+from orderlens.plans import changes, promotions, sales, silver
+from orderlens.retail import CONFIG
 from orderlens.schemas import SOURCES
+from registry.queries import QUERIES, Frames
 
 from conftest import rows
 
+BASE = "/root/testdata/sf0.001"
+
+
+def explained(df):
+    utils = df.sparkSession.sparkContext._jvm.PythonSQLUtils
+    return utils.explainString(df._jdf.queryExecution(), "formatted")
+
 
 def items_frame(spark, items):
     columns = "app_name string, order_id string, creation_time_utc string, lineitem_id string, item_price decimal(18,4)"
@@ -34,3 +45,43 @@ def test_months_are_looked_up_at_once_and_only_those_of_changed_lines_count(spar
     # The text is searched as often for sixty months as for one.
     plans = [changes.in_months(items, some)._jdf.queryExecution().optimizedPlan().toString() for some in (many, many[:1])]
     assert plans[0].count("RLIKE") == plans[1].count("RLIKE") > 0
+
+
+@pytest.fixture(scope="module")
+def frames(spark):
+    return Frames(spark, BASE)
+
+
+def exchanges(df, kind="Exchange"):
+    return df._jdf.queryExecution().executedPlan().toString().count(f"{kind} hashpartitioning")
+
+
+def test_options_move_once_to_their_order_lines(frames):
+    joined = silver.join_options(frames.cleaned, silver.option_rollup(frames.options))
+    assert exchanges(frames.silver) == exchanges(joined) + 1  # one for the calendar
+
+
+def test_what_follows_from_other_columns_does_not_move_to_be_written(frames):
+    text = explained(frames.silver_by_month)
+    moved = text.split("REBALANCE_PARTITIONS_BY_COL")[0].rsplit("Input [", 1)[1].splitlines()[0]
+    assert "item_name" in moved and "gross_revenue" not in moved and "holiday_name" not in moved
+    written = silver.orders_enriched(frames.items, frames.options, frames.date_dim, CONFIG, by_month=True)
+    assert written.schema == frames.silver.schema
+    assert rows(written) == rows(frames.silver)
+
+
+def test_discounts_move_lines_once(frames):
+    stored = frames.spark.createDataFrame(frames.silver.limit(50).collect(), frames.silver.schema)
+    assert exchanges(promotions.discount_effectiveness(stored, CONFIG)) == 1
+
+
+def test_trends_are_dealt_finely_and_their_revenue_is_the_same(spark, frames):
+    assert f"{4 * sales.FINER}), REPARTITION_BY_NUM" in explained(frames.trends).replace("\n", "")
+    columns = ["order_date", "restaurant_id", "item_category", "total_revenue"]
+    assert rows(frames.revenue, *columns) == rows(frames.trends, *columns)
+    assert rows(frames.stored.trends) == rows(frames.trends)
+
+
+def test_locations_and_trends_of_a_page_build_silver_once(spark, frames):
+    page = explained(QUERIES["serve_location_monthly"](spark, BASE))
+    assert "lineitem.parquet" not in page and "is_bulk_order_candidate" not in page

@@ -1,13 +1,15 @@
 """Steps whose work must grow no faster than their input."""
 
+import re
 from decimal import Decimal
 
 import pytest
 
 from orderlens.operators.tables import conform
-from orderlens.plans import changes, promotions, sales, silver
+from orderlens.plans import changes, customers, promotions, sales, silver
 from orderlens.retail import CONFIG
 from orderlens.schemas import SOURCES
+from orderlens.session import lying_together
 from registry.queries import QUERIES, Frames
 
 from conftest import rows
@@ -85,3 +87,17 @@ def test_trends_are_dealt_finely_and_their_revenue_is_the_same(spark, frames):
 def test_locations_and_trends_of_a_page_build_silver_once(spark, frames):
     page = explained(QUERIES["serve_location_monthly"](spark, BASE))
     assert "lineitem.parquet" not in page and "is_bulk_order_candidate" not in page
+
+
+def test_order_facts_find_lines_and_options_by_order(spark, frames):
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(key)
+    with lying_together(spark):
+        facts = customers.order_facts(frames.silver_by_order)
+        # Lines, their orders and options move by order once each, and nothing by order line.
+        plan = facts._jdf.queryExecution().executedPlan().toString()
+        moves = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+        assert sum(m.startswith("order_id") for m in moves) == 3 and not any("lineitem_id" in m for m in moves)
+    assert spark.conf.get(key) == before
+    assert rows(facts) == rows(customers.order_facts(frames.silver))
+    assert rows(frames.orders) == rows(facts)

@@ -4,7 +4,9 @@ import re
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
+from orderlens.functions import text
 from orderlens.operators.tables import conform
 from orderlens.plans import changes, customers, promotions, sales, silver
 from orderlens.retail import CONFIG
@@ -101,3 +103,18 @@ def test_order_facts_find_lines_and_options_by_order(spark, frames):
     assert spark.conf.get(key) == before
     assert rows(facts) == rows(customers.order_facts(frames.silver))
     assert rows(frames.orders) == rows(facts)
+
+
+def test_promotional_orders_are_folded_where_their_lines_lie_and_names_that_end_well_meet_no_pattern(spark, frames):
+    assert "lineitem.parquet" not in explained(QUERIES["serve_promo_top50"](spark, BASE))
+    columns = frames.promotional_orders.columns
+    assert rows(frames.promotional_orders) == rows(frames.discounts.where("is_promotional_order"), *columns)
+
+    ends = ["", "a", "Z", " ", "7", "`1", "é", "-", "'", "&", "\n", "1\n", "\t", "a\n", "{", "@", "z9 "]
+    raw = spark.createDataFrame([(f"x{a}{b}",) for a in ends for b in ends] + [(e,) for e in ends] + [(None,)], "c string")
+    c = F.col("c")
+    cleaned = text.clean_category(c, {})
+    plain = F.trim(F.regexp_replace(c, text.TRAILING_NOISE, ""))
+    assert raw.where(~cleaned.eqNullSafe(plain)).count() == 0
+    plan = raw.select(cleaned)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("CASE WHEN") < plan.index("regexp_replace")

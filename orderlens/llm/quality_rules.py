@@ -33,6 +33,8 @@ from orderlens.llm.common import WHITE_SPACE, WORD_GAP, let, stored, words_of
 from orderlens.session import broadcast_if_small
 
 COMMON_WORDS = 32
+# Fields of the table by hash in which a word's place among the common words is looked up.
+FIELDS = 512
 SYMBOLS = "#*$%&|<>"
 CLASSES = ("upper", "lower", "digit", "space", "symbol", "rest")
 
@@ -66,8 +68,8 @@ def _repeated_words(words: Column) -> Column:
     """Words that stand in a three-word window found at least twice."""
 
     def covered(windows: Column) -> Column:
-        # Sorted by hash, equal windows are neighbours.
-        ordered = F.array_sort(
+        # Sorted by hash, equal windows are neighbours. sort_array() compares without a lambda function.
+        ordered = F.sort_array(
             F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
         )
 
@@ -121,6 +123,14 @@ def common_words(docs: DataFrame, text: str = "text", lang: str = "lang") -> Dat
         .groupBy("lang", "word")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    # The place that the words of a hash have: 0 if there is none, -1 if there are several.
+    field = lambda w: F.pmod(F.hash(w), F.lit(FIELDS))
+    taken = let(F.transform("top_words", field), lambda fields: F.transform(
+        F.sequence(F.lit(0), F.lit(FIELDS - 1)),
+        lambda k: F.when(
+            F.size(F.filter(fields, lambda x: x == k)) > 1, F.lit(-1)
+        ).otherwise(F.array_position(fields, k).cast("int")),
+    ))
     # Each task passes on the leading words it has seen, not all words of a language.
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
     return (
@@ -129,14 +139,13 @@ def common_words(docs: DataFrame, text: str = "text", lang: str = "lang") -> Dat
         .groupBy(F.col("lang").alias("ref_lang"))
         .agg(
             F.array_sort(F.collect_list(F.struct("rank", "word", "n"))).alias("top"),
-            F.max(F.length("word")).alias("longest"),
         )
         .select(
             "ref_lang",
             F.col("top.word").alias("top_words"),
             F.col("top.n").alias("top_counts"),
-            "longest",
         )
+        .withColumn("fields", taken)
     )
 
 
@@ -163,17 +172,21 @@ def _figures(docs: DataFrame, text: str, lang: str, keep: list[str]) -> DataFram
     """All counts of a document; ``docs`` carries the common words of its language."""
     body = F.coalesce(F.col(text), F.lit(""))
 
+    def letter(x: Column, place: Column) -> Column:
+        found = F.char(F.lit(48) + F.array_position(F.col("top_words"), x))
+        return (
+            F.when(place == 0, F.lit("0"))
+            .when(place < 0, found)
+            .when(F.get("top_words", place - 1) == x, F.char(F.lit(48) + place))
+            .otherwise(F.lit("0"))
+        )
+
     # One letter for each word: its place among the common words, or "0".
     def places(w: Column) -> Column:
-        coded = F.array_join(
-            F.transform(
-                w,
-                lambda x: F.when(
-                    F.length(x) <= F.col("longest"),
-                    F.char(F.lit(48) + F.array_position(F.col("top_words"), x)),
-                ).otherwise(F.lit("0")),
-            ),
-            "",
+        of_fields = F.transform(w, lambda x: F.get("fields", F.pmod(F.hash(x), F.lit(FIELDS))))
+        coded = let(
+            of_fields,
+            lambda at: F.array_join(F.transform(w, lambda x, i: letter(x, F.get(at, i))), ""),
         )
         ranks = F.sequence(F.lit(1), F.lit(COMMON_WORDS))
         each = let(

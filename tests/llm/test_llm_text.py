@@ -334,3 +334,21 @@ def test_toxicity_without_labels_or_documents(spark):
     rows = toxicity.score_toxicity(documents(spark, ODD), none).collect()
     assert {r["predicted"] for r in rows} == {0}
     assert toxicity.score_toxicity(spark.createDataFrame([], EMPTY), none).count() == 0
+
+
+def test_common_words_are_looked_up_by_hash(spark, monkeypatch):
+    texts = [(f"d{i}", " ".join(f"w{k}" for k in range(60) for _ in range(1 + (k * 7 + i) % 5)) + " the The th", "en") for i in range(4)]
+    docs = spark.createDataFrame([*texts, ("e", None, "en"), ("f", "w1 w2 w1", None)], "doc_id string, text string, lang string")
+    found = {}
+    # With few fields all words share theirs with others; with very many none does.
+    for fields in (2, quality_rules.FIELDS, 1 << 16):
+        monkeypatch.setattr(quality_rules, "FIELDS", fields)
+        words = quality_rules.common_words(docs)
+        assert {len(r["fields"]) for r in words.collect()} == {fields}
+        joined = docs.join(words, docs["lang"].eqNullSafe(words["ref_lang"]), "left").drop("ref_lang")
+        figures = quality_rules._figures(joined, "text", "lang", ["doc_id"]).collect()
+        found[fields] = {r["doc_id"]: r["places"] for r in figures}
+    tops = {r["ref_lang"]: r["top_words"] for r in quality_rules.common_words(docs).collect()}
+    for doc_id, text, lang in [*texts, ("e", "", "en"), ("f", "w1 w2 w1", None)]:
+        top = [*tops[lang], *[None] * quality_rules.COMMON_WORDS][: quality_rules.COMMON_WORDS]
+        assert {tuple(f[doc_id]) for f in found.values()} == {tuple(float(text.split().count(w)) for w in top)}

@@ -30,6 +30,7 @@ columns play no part. Empty tables give an empty result.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -104,32 +105,48 @@ def _starts(codes: Column) -> Column:
     )
 
 
-def _windows(words: Column) -> Column:
+def _plain_entries(codes: Column) -> Column:
+    return F.transform(codes, lambda c: c.bitwiseAND(F.lit(-2)))
+
+
+def _typed_entries(codes: Column, starts: Column) -> Column:
+    name = F.lit(_ANY_NAME).cast("long")
+    return F.transform(starts, lambda s: F.when(_is_name(F.get(codes, s)), name).otherwise(F.get(codes, s)))
+
+
+def _hashed_windows(codes: Column, starts: Column, plain: Column, typed: Column) -> Column:
     """Hash, first entry (those of the typed reading follow the plain ones) and first word of each window.
 
-    Typed windows without a name are among them; no item asks for those.
+    Typed windows without a name are null: no item asks for those.
     """
 
     def of(entries: Column, reading: int, first: Column, place: Callable[[Column], Column]) -> Column:
-        return F.transform(
-            F.slice(entries, 1, F.greatest(F.size(entries) - (WINDOW - 1), F.lit(0))),
-            lambda x, i: F.struct(
-                F.xxhash64(x, *[F.get(entries, i + k) for k in range(1, WINDOW)], F.lit(reading)).alias("hash"),
+        def window(x: Column, i: Column) -> Column:
+            others = [F.get(entries, i + k) for k in range(1, WINDOW)]
+            made = F.struct(
+                F.xxhash64(x, *others, F.lit(reading)).alias("hash"),
                 (first + i).alias("entry"),
                 place(i).alias("place"),
-            ),
-        )
+            )
+            if not reading:
+                return made
+            return F.when(reduce(lambda a, b: a | b, [e == _ANY_NAME for e in (x, *others)]), made)
+
+        return F.transform(F.slice(entries, 1, F.greatest(F.size(entries) - (WINDOW - 1), F.lit(0))), window)
 
-    def plain(codes: Column) -> Column:
-        entries = F.transform(codes, lambda c: c.bitwiseAND(F.lit(-2)))
-        return let(entries, lambda e: of(e, 0, F.lit(0), lambda i: i))
+    return F.concat(of(plain, 0, F.lit(0), lambda i: i), of(typed, 1, F.size(codes), lambda i: F.get(starts, i)))
 
-    def typed(codes: Column, starts: Column) -> Column:
-        name = F.lit(_ANY_NAME).cast("long")
-        entries = F.transform(starts, lambda s: F.when(_is_name(F.get(codes, s)), name).otherwise(F.get(codes, s)))
-        return let(entries, lambda e: of(e, 1, F.size(codes), lambda i: F.get(starts, i)))
 
-    return let(_codes(words), lambda c: F.concat(plain(c), let(_starts(c), lambda s: typed(c, s))))
+def _windows(words: Column) -> Column:
+    return let(
+        _codes(words),
+        lambda c: let(
+            _starts(c),
+            lambda s: let(
+                _plain_entries(c), lambda p: let(_typed_entries(c, s), lambda t: _hashed_windows(c, s, p, t))
+            ),
+        ),
+    )
 
 
 def _entries(words: Column) -> Column:
@@ -216,9 +233,16 @@ def _text_hashes(text: str, names: list[str] = _TEXT_HASHES) -> list[Column]:
 def _chains(docs: DataFrame, items: DataFrame, text: str) -> DataFrame:
     """Per text, item and band of diagonals: the runs of matching windows, if they cover enough."""
     wanted = items.select("item_row", "n", "need", "drift", F.inline("windows"))
-    hashed = docs.select(
-        *_text_hashes(text),
-        F.inline(_windows(_stripped(words_of(F.col(text))))).alias("hash", "entry", "place"),
+    # One column after the other instead of let(), which copies what its body returns.
+    codes, starts = F.col("codes"), F.col("starts")
+    hashed = (
+        docs.select(*_text_hashes(text), _codes(_stripped(words_of(F.col(text)))).alias("codes"))
+        .select("*", _starts(codes).alias("starts"), _plain_entries(codes).alias("plain"))
+        .select("*", _typed_entries(codes, starts).alias("typed"))
+        .select(
+            *_TEXT_HASHES,
+            F.inline(_hashed_windows(codes, starts, F.col("plain"), F.col("typed"))).alias("hash", "entry", "place"),
+        )
     )
     window = F.struct("mine", F.col("entry").alias("other"), "at", "upto")
     runs = (

@@ -170,3 +170,20 @@ def test_rows_without_ids_repeated_rows_and_a_very_long_text(spark):
     left = decontaminate.remove_contaminated(docs, table)
     assert left.columns == docs.columns
     assert [(r["doc_id"], r["text"]) for r in left.orderBy("doc_id").collect()] == [(None, None), (5, long)]
+
+
+def test_typed_windows_without_a_name_are_not_made(spark):
+    texts = ["one two three four five six seven", "one two Three Four five six seven eight", "a b", "", "A Bob c d e f g h i j k"]
+    words = [t.split() for t in texts]
+    df = spark.createDataFrame([(w,) for w in words], "words array<string>")
+    found = [r[0] for r in df.select(decontaminate._windows(decontaminate.F.col("words"))).collect()]
+    for mine, of in zip(words, found, strict=True):
+        plain = max(0, len(mine) - 4)
+        assert [(w["entry"], w["place"]) for w in of[:plain]] == [(i, i) for i in range(plain)]
+        named = [len(w) > 1 and w[0].isupper() and w[1:].islower() for w in mine]
+        starts = [i for i in range(len(mine)) if not (named[i] and i and named[i - 1])]
+        typed = [
+            (len(mine) + k, starts[k]) if any(named[i] for i in starts[k : k + 5]) else None
+            for k in range(max(0, len(starts) - 4))
+        ]
+        assert [w and (w["entry"], w["place"]) for w in of[plain:]] == typed

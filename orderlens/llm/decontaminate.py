@@ -35,7 +35,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import let, stored, words_of
+from orderlens.llm.common import WHITE_SPACE, WORD_GAP, let, stored
 from orderlens.session import broadcast_if_small
 
 WINDOW = 5
@@ -57,11 +57,21 @@ _NUMBER_UNIT = f"^[0-9][0-9.,]*(?:{UNITS})$"
 _NAME = "^\\p{Lu}\\p{Ll}+$"
 # An odd code stands for a name: any word's code is a hash whose lowest bit tells names from others.
 _ANY_NAME = 1
+# White space with the signs around it. Most places begin no gap and are left at the first look; a run
+# of signs is read once, however long it is.
+_SIGN = f"[{''.join(c if c.isalnum() else chr(92) + c for c in SIGNS)}]"
+_GAP = f"(?![A-Za-z])(?:{_SIGN}(?<!{_SIGN}{{2}}){_SIGN}*+)?+{WORD_GAP}{_SIGN}*+"
 _TEXT_HASHES = ["text_hash_1", "text_hash_2"]
 
 
-def _stripped(words: Column) -> Column:
-    return F.transform(words, lambda w: F.btrim(w, F.lit(SIGNS)))
+def _joined(text: Column) -> Column:
+    """The words of a text, stripped of signs and parted by single spaces; null if it has no words."""
+    trimmed = F.btrim(text, F.lit(WHITE_SPACE))
+    return F.when(trimmed != "", F.regexp_replace(F.btrim(trimmed, F.lit(SIGNS)), _GAP, " "))
+
+
+def _stripped(text: Column) -> Column:
+    return F.coalesce(F.split(_joined(text), " "), F.array().cast("array<string>"))
 
 
 def _plain(low: Column) -> Column:
@@ -81,20 +91,19 @@ def _is_name(code: Column) -> Column:
     return code.bitwiseAND(F.lit(1)) == 1
 
 
-def _codes(words: Column) -> Column:
-    """A hash of each word's plain entry, odd for names. No stripped word holds a space."""
-
-    def of_lowered(words: Column, lowered: Column) -> Column:
-        def code(low: Column, i: Column) -> Column:
-            word = F.get(words, i)
-            name = F.when((word != low) & word.rlike(_NAME), F.lit(1)).otherwise(F.lit(0))
-            return F.xxhash64(_plain(low)).bitwiseAND(F.lit(-2)) + name
+def _code(word: Column, low: Column) -> Column:
+    name = F.when((word != low) & word.rlike(_NAME), F.lit(1)).otherwise(F.lit(0))
+    return F.xxhash64(_plain(low)).bitwiseAND(F.lit(-2)) + name
 
-        return F.transform(lowered, code)
 
+def _joined_codes(joined: Column) -> Column:
+    """A hash of each word's plain entry, odd for names. No stripped word holds a space."""
     # The whole text is lower-cased at once, which is faster than word by word.
-    lowered = lambda w: F.split(F.lower(F.array_join(w, " ")), " ")
-    return let(words, lambda w: let(lowered(w), lambda low: of_lowered(w, low)))
+    return F.zip_with(F.split(joined, " "), F.split(F.lower(joined), " "), _code)
+
+
+def _codes(words: Column) -> Column:
+    return let(F.array_join(words, " "), _joined_codes)
 
 
 def _starts(codes: Column) -> Column:
@@ -105,13 +114,20 @@ def _starts(codes: Column) -> Column:
     )
 
 
-def _plain_entries(codes: Column) -> Column:
-    return F.transform(codes, lambda c: c.bitwiseAND(F.lit(-2)))
+def _plain_entry(code: Column) -> Column:
+    return code.bitwiseAND(F.lit(-2))
+
+
+def _typed_entry(code: Column) -> Column:
+    return F.when(_is_name(code), F.lit(_ANY_NAME).cast("long")).otherwise(code)
+
 
+def _window_hash(entries: list[Column], reading: Column) -> Column:
+    return F.xxhash64(*entries, reading)
 
-def _typed_entries(codes: Column, starts: Column) -> Column:
-    name = F.lit(_ANY_NAME).cast("long")
-    return F.transform(starts, lambda s: F.when(_is_name(F.get(codes, s)), name).otherwise(F.get(codes, s)))
+
+def _any_name(entries: list[Column]) -> Column:
+    return reduce(lambda a, b: a | b, [e == _ANY_NAME for e in entries])
 
 
 def _hashed_windows(codes: Column, starts: Column, plain: Column, typed: Column) -> Column:
@@ -122,15 +138,13 @@ def _hashed_windows(codes: Column, starts: Column, plain: Column, typed: Column)
 
     def of(entries: Column, reading: int, first: Column, place: Callable[[Column], Column]) -> Column:
         def window(x: Column, i: Column) -> Column:
-            others = [F.get(entries, i + k) for k in range(1, WINDOW)]
+            of_window = [x, *(F.get(entries, i + k) for k in range(1, WINDOW))]
             made = F.struct(
-                F.xxhash64(x, *others, F.lit(reading)).alias("hash"),
+                _window_hash(of_window, F.lit(reading)).alias("hash"),
                 (first + i).alias("entry"),
                 place(i).alias("place"),
             )
-            if not reading:
-                return made
-            return F.when(reduce(lambda a, b: a | b, [e == _ANY_NAME for e in (x, *others)]), made)
+            return F.when(_any_name(of_window), made) if reading else made
 
         return F.transform(F.slice(entries, 1, F.greatest(F.size(entries) - (WINDOW - 1), F.lit(0))), window)
 
@@ -138,14 +152,37 @@ def _hashed_windows(codes: Column, starts: Column, plain: Column, typed: Column)
 
 
 def _windows(words: Column) -> Column:
-    return let(
-        _codes(words),
-        lambda c: let(
-            _starts(c),
-            lambda s: let(
-                _plain_entries(c), lambda p: let(_typed_entries(c, s), lambda t: _hashed_windows(c, s, p, t))
-            ),
-        ),
+    def of_codes(codes: Column, starts: Column) -> Column:
+        plain = F.transform(codes, _plain_entry)
+        typed = F.transform(starts, lambda s: _typed_entry(F.get(codes, s)))
+        return let(plain, lambda p: let(typed, lambda t: _hashed_windows(codes, starts, p, t)))
+
+    return let(_codes(words), lambda c: let(_starts(c), lambda s: of_codes(c, s)))
+
+
+def _document_windows(docs: DataFrame, text: str) -> DataFrame:
+    """The windows of ``_windows`` as rows, each with the hashes of its text.
+
+    Only codes are made as arrays. A row per place comes first and its window is hashed after that, so
+    the hashing and the join that follows are compiled; a function of an array is interpreted.
+    """
+    codes, starts, entry = F.col("codes"), F.col("starts"), F.col("entry")
+    n = F.size(codes)
+    places = (
+        docs.select(*_text_hashes(text), _joined(F.col(text)).alias("joined"))
+        .select(*_TEXT_HASHES, _joined_codes(F.col("joined")).alias("codes"))
+        .select("*", _starts(codes).alias("starts"))
+        # The typed reading has an entry at least, so the last place is not before the first.
+        .select("*", F.explode(F.when(n >= WINDOW, F.sequence(F.lit(0), n + F.size(starts) - WINDOW))).alias("entry"))
+    )
+    plain = [_plain_entry(F.get(codes, entry + k)) for k in range(WINDOW)]
+    typed = [_typed_entry(F.get(codes, F.get(starts, entry - n + k))) for k in range(WINDOW)]
+    # No window lies in both readings.
+    return places.where((entry <= n - WINDOW) | ((entry >= n) & _any_name(typed))).select(
+        *_TEXT_HASHES,
+        F.when(entry < n, _window_hash(plain, F.lit(0))).otherwise(_window_hash(typed, F.lit(1))).alias("hash"),
+        "entry",
+        F.when(entry < n, entry).otherwise(F.get(starts, entry - n)).alias("place"),
     )
 
 
@@ -187,7 +224,7 @@ def _covered(windows: Column) -> Column:
 
 def _items(benchmark: DataFrame, item: str, text: str) -> DataFrame:
     """Items with their entries, the windows that count, ``size`` (words in them), ``need`` and ``drift``."""
-    split = benchmark.select(F.col(item).alias("item"), _stripped(words_of(F.col(text))).alias("words"))
+    split = benchmark.select(F.col(item).alias("item"), _stripped(F.col(text)).alias("words"))
     read = stored(
         split.where(F.size("words") >= WINDOW).select(
             "item", F.size("words").alias("n"), _entries(F.col("words")).alias("entries"), _windows(F.col("words")).alias("found")
@@ -233,20 +270,10 @@ def _text_hashes(text: str, names: list[str] = _TEXT_HASHES) -> list[Column]:
 def _chains(docs: DataFrame, items: DataFrame, text: str) -> DataFrame:
     """Per text, item and band of diagonals: the runs of matching windows, if they cover enough."""
     wanted = items.select("item_row", "n", "need", "drift", F.inline("windows"))
-    # One column after the other instead of let(), which copies what its body returns.
-    codes, starts = F.col("codes"), F.col("starts")
-    hashed = (
-        docs.select(*_text_hashes(text), _codes(_stripped(words_of(F.col(text)))).alias("codes"))
-        .select("*", _starts(codes).alias("starts"), _plain_entries(codes).alias("plain"))
-        .select("*", _typed_entries(codes, starts).alias("typed"))
-        .select(
-            *_TEXT_HASHES,
-            F.inline(_hashed_windows(codes, starts, F.col("plain"), F.col("typed"))).alias("hash", "entry", "place"),
-        )
-    )
     window = F.struct("mine", F.col("entry").alias("other"), "at", "upto")
     runs = (
-        hashed.join(broadcast_if_small(wanted), "hash")
+        _document_windows(docs, text)
+        .join(broadcast_if_small(wanted), "hash")
         .groupBy(
             *_TEXT_HASHES,
             "item_row",
@@ -327,7 +354,7 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, text: str, item: str, item_tex
     suspects = stored(
         hashed.join(broadcast_if_small(texts), _TEXT_HASHES, "left_semi")
         .dropDuplicates(_TEXT_HASHES)
-        .select(*_TEXT_HASHES, _entries(_stripped(words_of(F.col("text")))).alias("theirs"))
+        .select(*_TEXT_HASHES, _entries(_stripped(F.col("text"))).alias("theirs"))
     )
     met = (
         chains.join(suspects, _TEXT_HASHES)

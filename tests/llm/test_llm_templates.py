@@ -187,3 +187,33 @@ def test_typed_windows_without_a_name_are_not_made(spark):
             for k in range(max(0, len(starts) - 4))
         ]
         assert [w and (w["entry"], w["place"]) for w in of[plain:]] == typed
+
+
+def test_windows_of_documents_are_hashed_as_rows(spark):
+    """No function of an array hashes a window of a document: such functions are not compiled."""
+    docs = spark.createDataFrame([("One two Three 4 km five six seven",)], "text string")
+    items = decontaminate._items(docs.selectExpr("1 item_id", "text"), "item_id", "text")
+    plan = decontaminate._chains(docs, items, "text")._jdf.queryExecution().optimizedPlan().toString()
+    generated = [line for line in plan.splitlines() if "Generate " in line]
+    assert len(generated) >= 3
+    assert not any("xxhash64" in line for line in generated)
+
+
+def test_windows_as_rows_and_in_arrays_are_equal(spark):
+    odd = ["One Two three 4 km Five six Seven eight", "a b", "", None, "--", " a -- b. Anna Bert c d e ", "A b c d e"]
+    docs = spark.createDataFrame([(t,) for t in odd], "text string")
+    rows = decontaminate._document_windows(docs, "text")
+    made = decontaminate.F.inline(decontaminate._windows(decontaminate._stripped(docs.text)))
+    arrays = docs.select(*decontaminate._text_hashes("text"), made.alias("hash", "entry", "place")).where("hash is not null")
+    assert rows.count() > 10
+    assert sorted(rows.collect()) == sorted(arrays.collect())
+
+
+def test_words_and_the_signs_at_their_ends(spark):
+    dashes = "-" * 200_000
+    texts = [None, "", " \t", "--", "-- --", "a --", "-- a", " a-- --b -- c--d.\n\n“e” ¿f?\x0b", "\u00a0g h\u2014"]
+    texts.append(f"{dashes} a{dashes}b {dashes}")
+    texts += ["".join(random.Random(i).choices("aB9é字 \t\r-.(“¿", k=60)) for i in range(300)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = [r[0] for r in df.select(decontaminate._stripped(df.text)).collect()]
+    assert found == [[w.strip(SIGNS) for w in re.findall(r"[^\x20\x09-\x0D]+", t or "")] for t in texts]

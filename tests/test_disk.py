@@ -3,12 +3,17 @@
 import os
 import re
 import time
+from datetime import date
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from orderlens.plans import silver
+from orderlens.config import Config
+from orderlens.operators.tables import conform
+from orderlens.plans import changes, pipeline, silver
 from orderlens.retail import CONFIG
+from orderlens.schemas import DATE_DIM, ORDER_ITEM_OPTIONS, ORDER_ITEMS
 from orderlens.session import leaving_no_shuffle_files, reliable
 from orderlens.sources import files
 from registry.queries import Frames
@@ -16,6 +21,7 @@ from registry.queries import Frames
 from conftest import rows
 
 BASE = "/root/testdata/sf0.001"
+CFG = Config("T", calendar_start=date(2023, 1, 1), calendar_end=date(2023, 12, 31))
 
 
 @pytest.fixture(scope="module")
@@ -42,6 +48,19 @@ def moves_of(df):
     return re.findall(r"Exchange hashpartitioning\(([^)]*)\)", df._jdf.queryExecution().executedPlan().toString())
 
 
+def sources(spark):
+    made = [("o1", "a", 5), ("o1", "a", 7), ("o1", None, 2), (None, "a", 3), (None, None, 4), ("o2", "b", 1)]
+    columns = "app_name string, order_id string, lineitem_id string, item_quantity int, creation_time_utc string, item_price decimal(18,4)"
+    items = [("Store", o, i, n, f"2023-{n:02d}-03T10:00:00Z", Decimal(n)) for o, i, n in made]
+    items += [("T", "o3", "a", 1, "2023-01-03T10:00:00Z", Decimal(1)), ("Store", "o4", "a", 1, "soon", None)]
+    options = [("o1", "a", "g", "x", Decimal("1.5"), 2)] * 2 + [("o1", "a", "g", "y", None, 1), (None, "a", "g", "x", Decimal(9), 1)]
+    return {
+        "order_items": conform(spark.createDataFrame(items, columns), ORDER_ITEMS),
+        "order_item_options": spark.createDataFrame(options, ORDER_ITEM_OPTIONS),
+        "date_dim": conform(spark.createDataFrame([("03-05-2023", True, "Day")], "date_key string, is_holiday boolean, holiday_name string"), DATE_DIM),
+    }
+
+
 def test_steps_leave_no_shuffle_files(spark, tmp_path):
     before = shuffle_files(spark)
     counts = spark.range(100).groupBy((F.col("id") % 7).alias("year")).count()
@@ -53,6 +72,8 @@ def test_steps_leave_no_shuffle_files(spark, tmp_path):
     files.store_by_month(months, str(tmp_path / "by_month"))
     files.write_gold(counts, str(tmp_path), "gold")
     stored = reliable(counts)
+    day = sources(spark)
+    assert changes.touched_months(day, day) == []
     assert left_behind(spark, before) == set()
     assert rows(stored) == rows(counts)
     key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -62,6 +83,19 @@ def test_steps_leave_no_shuffle_files(spark, tmp_path):
     assert spark.conf.get(key) == was
 
 
+def test_silver_leaves_neither_shuffle_files_nor_stored_lines(spark, tmp_path, monkeypatch):
+    day, kept = sources(spark), tmp_path / "kept"
+    monkeypatch.setattr(pipeline, "scratch_folder", lambda spark: str(kept))
+    for table, df in day.items():
+        files.write_bronze(df, str(tmp_path / "bronze"), table, date(2024, 1, 1))
+    before = shuffle_files(spark)
+    done = pipeline.build_silver(spark, str(tmp_path / "bronze"), str(tmp_path / "silver"), CFG)
+    assert done["rows"] == 7 and not kept.exists()
+    assert left_behind(spark, before) == set()
+    plain = silver.orders_enriched(*day.values(), CFG)
+    assert rows(files.read_silver(spark, str(tmp_path / "silver")), *plain.columns) == rows(plain)
+
+
 def test_lines_to_be_written_meet_options_by_order_and_are_stored(frames, monkeypatch):
     stored = []
     store = silver.store

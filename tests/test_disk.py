@@ -16,6 +16,7 @@ from orderlens.retail import CONFIG
 from orderlens.schemas import DATE_DIM, ORDER_ITEM_OPTIONS, ORDER_ITEMS
 from orderlens.session import leaving_no_shuffle_files, reliable
 from orderlens.sources import files
+from registry import queries
 from registry.queries import Frames
 
 from conftest import rows
@@ -107,6 +108,16 @@ def test_lines_to_be_written_meet_options_by_order_and_are_stored(frames, monkey
     assert "lineitem.parquet" not in written._jdf.queryExecution().toString()
 
 
+def test_baskets_are_folded_where_their_lines_lie(frames, monkeypatch):
+    stored = []
+    store = files.store
+    monkeypatch.setattr(queries.files, "store", lambda df, folder: stored.append(moves_of(df)) or store(df, folder))
+    baskets = Frames(frames.spark, BASE).baskets_table
+    (moves,) = stored
+    assert sum(m.startswith("order_id") for m in moves) == 3 and not any("lineitem_id" in m for m in moves)
+    assert rows(baskets) == rows(frames.discounts, *baskets.columns)
+
+
 def test_lines_move_to_their_orders_with_their_price_only(frames):
     utils = frames.spark.sparkContext._jvm.PythonSQLUtils
     text = utils.explainString(frames.items._jdf.queryExecution(), "formatted")

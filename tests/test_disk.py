@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from orderlens.config import Config
 from orderlens.operators.tables import conform
 from orderlens.plans import changes, pipeline, silver
-from orderlens.retail import CONFIG
 from orderlens.schemas import DATE_DIM, ORDER_ITEM_OPTIONS, ORDER_ITEMS
 from orderlens.session import leaving_no_shuffle_files, reliable
 from orderlens.sources import files
@@ -97,11 +96,11 @@ def test_silver_leaves_neither_shuffle_files_nor_stored_lines(spark, tmp_path, m
     assert rows(files.read_silver(spark, str(tmp_path / "silver")), *plain.columns) == rows(plain)
 
 
-def test_lines_to_be_written_meet_options_by_order_and_are_stored(frames, monkeypatch):
+def test_lines_to_be_written_meet_options_by_order_and_are_stored(spark, monkeypatch):
     stored = []
     store = silver.store
     monkeypatch.setattr(silver, "store", lambda df, folder: stored.append(moves_of(df)) or store(df, folder))
-    written = silver.orders_enriched(frames.items, frames.options, frames.date_dim, CONFIG, by_month=True)
+    written = Frames(spark, BASE).silver_by_month
     # Lines, their orders and options move by order once each, and nothing by order line.
     (moves,) = stored
     assert sum(m.startswith("order_id") for m in moves) == 3 and not any("lineitem_id" in m for m in moves)
